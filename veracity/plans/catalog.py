@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from veracity.plans import q_words  # noqa: F401
+from veracity.plans import q_scores, q_words  # noqa: F401
 from veracity.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
