@@ -2,6 +2,7 @@
 
 from veracity.schema import WS_CLASS_DUCKDB
 
+WS_SQL = WS_CLASS_DUCKDB
 WORD_RE = f"[^{WS_CLASS_DUCKDB}]+"
 
 # (doc_id, word_idx, start, end, word) for every whitespace word of documents
