@@ -16,7 +16,6 @@ arbitrarily.
 
 from __future__ import annotations
 
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +32,10 @@ def _partitioned(df: DataFrame, order: list[str], descending: bool, n_parts: int
     ensure_checkpoint_dir(spark)
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _ordered(order, descending)
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    # the partition id is stored as data: a task's own partition index is not the range
+    # partition any more once the result sits under a union
+    return (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+            .withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True))
 
 
 def running_totals(
@@ -46,7 +48,7 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<prefix><c>`` = inclusive running sum of ``c`` in ``order`` order."""
     part = _partitioned(df, order, descending, n_parts)
-    totals = part.groupBy(F.spark_partition_id().alias("_pid")).agg(
+    totals = part.groupBy(F.col("__pid").alias("_pid")).agg(
         *[F.sum(c).alias(c) for c in sums]).collect()
     offsets: dict[int, list] = {}
     run = [0] * len(sums)
@@ -55,15 +57,19 @@ def running_totals(
         run = [a + (r[c] or 0) for a, c in zip(run, sums)]
     integral = {c: isinstance(df.schema[c].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
                 for c in sums}
-    fields = list(df.schema.fields) + [
+    fields = list(df.schema.fields) + [T.StructField("__pid", T.IntegerType())] + [
         T.StructField(prefix + c, T.LongType() if integral[c] else T.DoubleType()) for c in sums
     ]
     schema = T.StructType(fields)
     zero = [0] * len(sums)
 
     def scan(batches):
-        acc = list(offsets.get(TaskContext.get().partitionId(), zero))
+        acc = None
         for pdf in batches:
+            if not len(pdf):
+                continue
+            if acc is None:
+                acc = list(offsets.get(int(pdf["__pid"].iloc[0]), zero))
             for j, c in enumerate(sums):
                 col = pdf[c].fillna(0)
                 col = col.astype("int64") if integral[c] else col.astype("float64")
@@ -73,15 +79,15 @@ def running_totals(
                     acc[j] = cs.iloc[-1]
             yield pdf
 
-    return part.mapInPandas(scan, schema)
+    return part.mapInPandas(scan, schema).drop("__pid")
 
 
 def dense_index(df: DataFrame, order: list[str], name: str = "row_key",
                 n_parts: int | None = None) -> DataFrame:
     """Add ``name`` = 0..n-1 in ``order`` order (F7), without a single-task window."""
-    with_one = df.withColumn("_one", F.lit(1).cast("long"))
-    out = running_totals(with_one, order, ["_one"], prefix="_cum", n_parts=n_parts)
-    return out.withColumn(name, F.col("_cum_one") - 1).drop("_one", "_cum_one")
+    with_one = df.withColumn("__di_one", F.lit(1).cast("long"))
+    out = running_totals(with_one, order, ["__di_one"], prefix="__cum", n_parts=n_parts)
+    return out.withColumn(name, F.col("__cum__di_one") - 1).drop("__di_one", "__cum__di_one")
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
