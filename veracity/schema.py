@@ -71,6 +71,12 @@ CLASS_ORDER = ["real", "fake", "satire"]
 # Envelope keys tried, in order, when a JSON file holds an object.
 JSON_ENVELOPE_KEYS = ["data", "records", "items", "news", "articles"]
 
+# Cell spellings that pandas' CSV reader treats as missing by default.
+PANDAS_NA_STRINGS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 # Encodings tried, in order, when the encoding is "auto".
 ENCODING_ORDER = ["utf-8-sig", "utf-8", "cp949", "euc-kr"]
 
