@@ -130,11 +130,19 @@ def assign_words(tokens: DataFrame, words: DataFrame, key: str) -> DataFrame:
 
 def word_scores(tokens: DataFrame, words: DataFrame, key: str, prob: str = "prob") -> DataFrame:
     """Per word, the max probability of the tokens assigned to it over all chunks;
-    untouched words 0.0.  ``words`` long ``(key, word_idx, start, end, word)``."""
-    assigned = assign_words(tokens.where(F.col("end") > F.col("start")), words, key)
-    best = assigned.where(F.col("word_idx").isNotNull()).groupBy(key, "word_idx").agg(F.max(prob).alias("_m"))
-    return words.join(best, [key, "word_idx"], "left").select(
-        *words.columns, F.coalesce(F.col("_m"), F.lit(0.0)).alias("score"))
+    untouched words 0.0.  ``words`` long ``(key, word_idx, start, end, word)``.
+
+    Word rows (score 0.0) and assigned token rows are grouped by (key, word_idx) in the
+    partitioning of the as-of sweep, so no further shuffle or join is needed."""
+    assigned = assign_words(tokens.where(F.col("end") > F.col("start")).select(key, "start", "end", prob),
+                            words, key)
+    wcols = [c for c in words.columns if c not in (key, "word_idx")]
+    t = assigned.where(F.col("word_idx").isNotNull()).select(
+        key, "word_idx", F.col(prob).alias("_p"), *[F.lit(None).cast(words.schema[c].dataType).alias(c) for c in wcols])
+    w = words.select(key, "word_idx", F.lit(0.0).alias("_p"), *wcols)
+    agg = w.unionByName(t).groupBy(key, "word_idx").agg(
+        F.max("_p").alias("score"), *[F.max(c).alias(c) for c in wcols])
+    return agg.select(*words.columns, "score")
 
 
 def word_index(word_scores_df: DataFrame, key: str, threshold: float, docs: DataFrame | None = None) -> DataFrame:
@@ -145,12 +153,18 @@ def word_index(word_scores_df: DataFrame, key: str, threshold: float, docs: Data
     return docs.select(key).join(per, key, "left").select(key, F.coalesce("index", F.lit(0.0)).alias("index"))
 
 
-def top_evidence(word_scores_df: DataFrame, key: str, k: int = DEFAULT_EVIDENCE_K) -> DataFrame:
-    """``(key, evidence)`` — the k best words by score, ties in text order."""
+def top_evidence_rows(word_scores_df: DataFrame, key: str, k: int = DEFAULT_EVIDENCE_K) -> DataFrame:
+    """A13 long form: the k best words per document by score, ties in text order,
+    with their ``rank`` (1-based)."""
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word_idx"))
-    top = word_scores_df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
+    return word_scores_df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def top_evidence(word_scores_df: DataFrame, key: str, k: int = DEFAULT_EVIDENCE_K) -> DataFrame:
+    """``(key, evidence)`` — array of ``{word, start, end, score}`` in rank order."""
+    top = top_evidence_rows(word_scores_df, key, k)
     return top.groupBy(key).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("_rk", "word", "start", "end", "score"))),
+        F.array_sort(F.collect_list(F.struct("rank", "word", "start", "end", "score"))),
         lambda s: F.struct(s["word"].alias("word"), s["start"].alias("start"), s["end"].alias("end"),
                            s["score"].alias("score"))).alias("evidence"))
 

@@ -134,8 +134,20 @@ def choose_suspicion_threshold(df: DataFrame, y, p, target_recall: float = 0.95)
 
 
 def grid_bucket(p: Column, grid: list[float]) -> Column:
-    """Number of grid values ``<= p`` (so ``p >= grid[k]`` ⟺ bucket > k)."""
-    return F.size(F.filter(F.array(*[F.lit(g) for g in grid]), lambda g: p >= g))
+    """Number of grid values ``<= p`` (so ``p >= grid[k]`` ⟺ bucket > k).
+
+    O(1) per row for an evenly spaced ascending grid: an arithmetic estimate, then one
+    correction step each way against the exact grid values."""
+    n = len(grid)
+    arr = F.array(*[F.lit(float(g)) for g in grid])
+    if n == 1:
+        return F.when(p >= arr[0], 1).otherwise(0)
+    start, step = grid[0], (grid[-1] - grid[0]) / (n - 1)
+    est = F.least(F.lit(n), F.greatest(F.lit(0), (F.floor((p - start) / step) + 1).cast("int")))
+    # grid[est] (0-based) must be > p and grid[est-1] <= p
+    up = F.when((est < n) & (F.element_at(arr, F.least(est + 1, F.lit(n))) <= p), est + 1).otherwise(est)
+    down = F.when((up > 0) & (F.element_at(arr, F.greatest(up, F.lit(1))) > p), up - 1).otherwise(up)
+    return F.when(p.isNull(), F.lit(0)).otherwise(down)
 
 
 def choose_token_threshold(df: DataFrame, target, p) -> DataFrame:

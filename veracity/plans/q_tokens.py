@@ -423,12 +423,9 @@ WHERE rk <= 8
 """)
 def q_top_evidence(spark, sf_dir):
     s = word_score_frame(spark, sf_dir)
-    ev = TK.top_evidence(s.select("doc_id", "word_idx", "word", "start", "end", "score"), "doc_id", 8)
-    e = ev.select("doc_id", F.posexplode("evidence").alias("i", "e"))
-    words = s.select("doc_id", "start", "word_idx")
-    return e.select("doc_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("e.word").alias("word"),
-                    F.round("e.score", 6).alias("score"), F.col("e.start").alias("start")).join(
-        words, ["doc_id", "start"]).select("doc_id", "rank", "word_idx", "word", "score")
+    top = TK.top_evidence_rows(s.select("doc_id", "word_idx", "word", "start", "end", "score"), "doc_id", 8)
+    return top.select("doc_id", F.col("rank").cast("int").alias("rank"), "word_idx", "word",
+                      F.round("score", 6).alias("score"))
 
 
 @query("soft_ratio", f"""
