@@ -1,9 +1,10 @@
 """Article readers and writers.
 
 * Encoding detection reads the files as text lines (splittable) and checks every line:
-  a file is UTF-8 when every line is valid UTF-8 (``utf-8-sig`` when it starts with a
-  byte-order mark), else CP949 when every line decodes without replacement, else an
-  error.  CP949 / EUC-KR need ``spark.sql.legacy.javaCharsets`` (set here).
+  a file is UTF-8 when every line is valid UTF-8, else CP949 when every line decodes
+  without replacement, else an error.  ``utf-8-sig`` and ``utf-8`` decode to the same
+  text (the line reader drops a leading byte-order mark), so both report ``utf-8``.
+  CP949 / EUC-KR need ``spark.sql.legacy.javaCharsets`` (set here).
 * Delimited files use the CSV source with ``multiLine`` (quoted line breaks) — such a
   file is not splittable, so scale comes from many files.  All columns are read as
   strings; pandas' default NA spellings become NULL.
@@ -35,22 +36,19 @@ def _legacy_charsets(spark: SparkSession) -> None:
 
 
 def detect_encoding(spark: SparkSession, paths) -> DataFrame:
-    """``(path, encoding, has_bom)`` per file; ``encoding`` NULL when no candidate
-    decodes the file (the caller raises)."""
+    """``(path, encoding)`` per file; ``encoding`` NULL when no candidate decodes
+    the file (the caller raises)."""
     _legacy_charsets(spark)
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
     per_line = lines.select(
         "path",
         F.is_valid_utf8("value").alias("utf8"),
-        F.startswith("value", F.lit("\ufeff")).alias("bom"),
         (~F.contains(F.decode(F.col("value").cast("binary"), "x-windows-949"), F.lit("\ufffd"))).alias("cp949"),
     )
     agg = per_line.groupBy("path").agg(
-        F.min(F.col("utf8").cast("int")).alias("u"), F.max(F.col("bom").cast("int")).alias("b"),
-        F.min(F.col("cp949").cast("int")).alias("c"))
-    enc = (F.when((F.col("u") == 1) & (F.col("b") == 1), "utf-8-sig").when(F.col("u") == 1, "utf-8")
-           .when(F.col("c") == 1, "cp949"))
-    return agg.select("path", enc.alias("encoding"), (F.col("b") == 1).alias("has_bom"))
+        F.min(F.col("utf8").cast("int")).alias("u"), F.min(F.col("cp949").cast("int")).alias("c"))
+    enc = F.when(F.col("u") == 1, "utf-8").when(F.col("c") == 1, "cp949")
+    return agg.select("path", enc.alias("encoding"))
 
 
 def _null_na(df: DataFrame) -> DataFrame:
