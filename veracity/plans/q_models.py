@@ -28,7 +28,9 @@ def articles(spark, sf_dir):
         F.col("doc_id").alias("row_key"), "text", F.col("source").alias("group_id"), label.alias("label_norm"),
         F.when(label.isin("fake", "satire"), 1).otherwise(0).alias("suspicious_target"),
         (((F.col("doc_id") * 31) % 101) / 100).alias("irony_score"),
-        (((F.col("doc_id") * 17) % 101) / 100).alias("total_attention"))
+        (((F.col("doc_id") * 17) % 101) / 100).alias("total_attention"),
+        F.when(F.col("doc_id") % 4 != 3, ((F.col("doc_id") * 3) % 11) / 10).alias("emotion_score"),
+        F.when(F.col("doc_id") % 4 != 2, ((F.col("doc_id") * 5) % 11) / 10).alias("exaggeration_score"))
 
 
 def split(spark, sf_dir):
@@ -115,4 +117,12 @@ def q_fit_temperature(spark, sf_dir):
         F.round("temperature", 4).alias("temperature"), F.round("loss", 6).alias("loss"))
 
 
+@query("run_training")
+def q_run_training(spark, sf_dir):
+    """The whole training job on the labelled documents; the test report."""
+    from veracity.plans.training import run_training
+    out = run_training(articles(spark, sf_dir), A.scratch_path(spark, "progress"))
+    return out["report"].select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
 __all__ = ["MAX_LENGTH", "STRIDE"]
