@@ -68,55 +68,67 @@ def confusion(df: DataFrame, truth, pred, labels: list) -> DataFrame:
         "truth", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+def _label_counts(df: DataFrame, truth, pred, labels: list) -> DataFrame:
+    """One aggregation pass: per label tp / predicted / support, plus n."""
+    t, p = _c(truth), _c(pred)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, v in enumerate(labels):
+        lv = F.lit(v)
+        aggs += [F.count_if((t == lv) & (p == lv)).alias(f"tp{i}"), F.count_if(p == lv).alias(f"pr{i}"),
+                 F.count_if(t == lv).alias(f"su{i}")]
+    return df.agg(*aggs)
+
+
+def _label_struct(i: int, name) -> Column:
+    tp, pr, su = F.col(f"tp{i}"), F.col(f"pr{i}"), F.col(f"su{i}")
+    return F.struct(F.lit(name).alias("label"), tp.alias("tp"), pr.alias("predicted"), su.alias("support"),
+                    safe_ratio(tp, pr).alias("precision"), safe_ratio(tp, su).alias("recall"),
+                    safe_ratio(2 * tp, pr + su).alias("f1"))
+
+
 def per_label(df: DataFrame, truth, pred, labels: list) -> DataFrame:
-    """Per label: tp, predicted, support, precision, recall, f1."""
-    cm = confusion(df, truth, pred, labels)
-    support = cm.groupBy(F.col("truth").alias("label")).agg(F.sum("n").alias("support"))
-    predicted = cm.groupBy(F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    tp = cm.where(F.col("truth") == F.col("pred")).select(F.col("truth").alias("label"), F.col("n").alias("tp"))
-    t = tp.join(support, "label").join(predicted, "label")
-    return t.select(
-        "label", "tp", "predicted", "support",
-        safe_ratio(F.col("tp"), F.col("predicted")).alias("precision"),
-        safe_ratio(F.col("tp"), F.col("support")).alias("recall"),
-        safe_ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"),
-    )
+    """Per label: tp, predicted, support, precision, recall, f1 (one pass over ``df``)."""
+    c = _label_counts(df, truth, pred, labels)
+    return c.select(F.explode(F.array(*[_label_struct(i, v) for i, v in enumerate(labels)])).alias("s")).select("s.*")
 
 
 def macro_f1(df: DataFrame, truth, pred, labels: list) -> DataFrame:
     """Mean F1 over the labels present in truth or prediction."""
-    pl = per_label(df, truth, pred, labels)
-    return pl.agg(F.avg(F.when(F.col("support") + F.col("predicted") > 0, F.col("f1"))).alias("macro_f1"))
+    c = _label_counts(df, truth, pred, labels)
+    f1s = [_label_struct(i, v)["f1"] for i, v in enumerate(labels)]
+    present = [(F.col(f"su{i}") + F.col(f"pr{i}") > 0).cast("int") for i in range(len(labels))]
+    num = sum((F.when(pr == 1, f).otherwise(0.0) for f, pr in zip(f1s, present)), F.lit(0.0))
+    den = sum(present, F.lit(0))
+    return c.select(F.when(den > 0, num / den).alias("macro_f1"))
 
 
 def classification_report(df: DataFrame, truth, pred, labels: list, names: list[str] | None = None) -> DataFrame:
     """``(label, precision, recall, f1, support)`` per label, then ``accuracy``,
-    ``macro avg`` and ``weighted avg`` over the given labels."""
+    ``macro avg`` and ``weighted avg`` over the given labels — one pass over ``df``."""
     names = names or [str(v) for v in labels]
-    pl = per_label(df, truth, pred, labels)
-    name_map = F.create_map(*[x for v, n in zip(labels, names) for x in (F.lit(v), F.lit(n))])
-    rows = pl.select(
-        F.element_at(name_map, F.col("label")).alias("label"),
-        "precision", "recall", "f1", F.col("support").cast("double").alias("support"),
-    )
-    tot = pl.agg(
-        F.sum("support").alias("n"),
-        F.sum("tp").alias("tp"),
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        F.sum(F.col("precision") * F.col("support")).alias("wp"),
-        F.sum(F.col("recall") * F.col("support")).alias("wr"),
-        F.sum(F.col("f1") * F.col("support")).alias("wf"),
-    )
+    c = _label_counts(df, truth, pred, labels)
+    k = len(labels)
+    per = [_label_struct(i, n) for i, n in enumerate(names)]
     n = F.col("n")
-    acc = tot.select(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                     F.lit(None).cast("double").alias("recall"), safe_ratio(F.col("tp"), n).alias("f1"),
-                     n.cast("double").alias("support"))
-    macro = tot.select(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"),
-                       F.col("mr").alias("recall"), F.col("mf").alias("f1"), n.cast("double").alias("support"))
-    weighted = tot.select(F.lit("weighted avg").alias("label"), safe_ratio(F.col("wp"), n).alias("precision"),
-                          safe_ratio(F.col("wr"), n).alias("recall"), safe_ratio(F.col("wf"), n).alias("f1"),
-                          n.cast("double").alias("support"))
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    tp_sum = sum((F.col(f"tp{i}") for i in range(k)), F.lit(0))
+
+    def avg(field):
+        return sum((s[field] for s in per), F.lit(0.0)) / k
+
+    def weighted(field):
+        return safe_ratio(sum((s[field] * s["support"] for s in per), F.lit(0.0)), n)
+
+    def row(label, p, r, f):
+        return F.struct(F.lit(label).alias("label"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f.cast("double").alias("f1"),
+                        n.cast("double").alias("support"))
+
+    rows = [F.struct(s["label"].alias("label"), s["precision"].alias("precision"), s["recall"].alias("recall"),
+                     s["f1"].alias("f1"), s["support"].cast("double").alias("support")) for s in per]
+    rows += [row("accuracy", F.lit(None), F.lit(None), safe_ratio(tp_sum, n)),
+             row("macro avg", avg("precision"), avg("recall"), avg("f1")),
+             row("weighted avg", weighted("precision"), weighted("recall"), weighted("f1"))]
+    return c.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 # ----------------------------------------------------------------------------- ranking
