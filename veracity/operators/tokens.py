@@ -67,7 +67,10 @@ def n_chunks(n_tokens: Column, max_length: int, stride: int) -> Column:
 def chunk_tokens(df: DataFrame, key: str, tokens: str, max_length: int, stride: int,
                  keep: list[str] | None = None) -> DataFrame:
     """A8 + A10: ``(key, chunk_idx, pos, tok_pos, start, end)`` with the special tokens
-    (``pos`` 0 and last, zero-length offsets, ``tok_pos`` NULL) of every chunk."""
+    (``pos`` 0 and last, zero-length offsets, ``tok_pos`` NULL) of every chunk.
+
+    One row-local array per document (content entries, then two specials per chunk)
+    exploded once: the input is read a single time."""
     w = max_length - SPECIAL_TOKENS_PER_CHUNK
     step = w - stride
     if not (0 <= stride < w):
@@ -75,20 +78,24 @@ def chunk_tokens(df: DataFrame, key: str, tokens: str, max_length: int, stride:
     keep = keep or []
     base = df.select(key, *keep, _c(tokens).alias("_t")).withColumn("_n", F.size("_t"))
     base = base.withColumn("_nc", n_chunks(F.col("_n"), max_length, stride))
-    toks = base.select(key, *keep, "_nc", F.posexplode("_t").alias("tok_pos", "_tk"))
-    first = F.greatest(F.lit(0), F.ceil((F.col("tok_pos") - w + 1) / F.lit(step)).cast("int"))
-    last = F.least(F.col("_nc") - 1, F.floor(F.col("tok_pos") / F.lit(step)).cast("int"))
-    content = toks.select(key, *keep, "tok_pos", "_tk", F.explode(F.sequence(first, last)).alias("chunk_idx")).select(
-        key, *keep, "chunk_idx", (F.col("tok_pos") - F.col("chunk_idx") * step + 1).cast("int").alias("pos"),
-        F.col("tok_pos").cast("int").alias("tok_pos"), F.col("_tk.start").alias("start"), F.col("_tk.end").alias("end"))
+
+    def entry(c, pos, tok_pos, start, end):
+        return F.struct(c.cast("int").alias("chunk_idx"), pos.cast("int").alias("pos"),
+                        tok_pos.cast("int").alias("tok_pos"), start.cast("int").alias("start"),
+                        end.cast("int").alias("end"))
+
+    def per_token(tk, i):
+        first = F.greatest(F.lit(0), F.ceil((i - w + 1) / F.lit(step)).cast("int"))
+        last = F.least(F.col("_nc") - 1, F.floor(i / F.lit(step)).cast("int"))
+        return F.transform(F.sequence(first, last), lambda c: entry(c, i - c * step + 1, i, tk["start"], tk["end"]))
+
+    content = F.flatten(F.transform("_t", per_token))
     # chunk c holds tokens c*step .. min(n, c*step + W) - 1, framed by two special tokens
-    chunks = base.select(key, *keep, "_n", F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)).alias("chunk_idx"))
-    n_in = F.least(F.col("_n") - F.col("chunk_idx") * step, F.lit(w))
-    n_in = F.greatest(n_in, F.lit(0))
-    specials = chunks.select(key, *keep, "chunk_idx", F.explode(F.array(F.lit(0), (n_in + 1).cast("int"))).alias("pos")).select(
-        key, *keep, "chunk_idx", F.col("pos").cast("int").alias("pos"), F.lit(None).cast("int").alias("tok_pos"),
-        F.lit(0).alias("start"), F.lit(0).alias("end"))
-    return content.unionByName(specials)
+    none = F.lit(None)
+    specials = F.flatten(F.transform(F.sequence(F.lit(0), F.col("_nc") - 1), lambda c: F.array(
+        entry(c, F.lit(0), none, F.lit(0), F.lit(0)),
+        entry(c, F.greatest(F.lit(0), F.least(F.col("_n") - c * step, F.lit(w))) + 1, none, F.lit(0), F.lit(0)))))
+    return base.select(key, *keep, F.explode(F.concat(content, specials)).alias("_r")).select(key, *keep, "_r.*")
 
 
 # ----------------------------------------------------------------------------- J5 / A11
