@@ -101,54 +101,82 @@ def chunk_tokens(df: DataFrame, key: str, tokens: str, max_length: int, stride:
 # ----------------------------------------------------------------------------- J5 / A11
 
 
-def assign_words(tokens: DataFrame, words: DataFrame, key: str) -> DataFrame:
-    """Add ``word_idx`` to every token row (NULL when no word overlaps or the token
-    is zero-length).  The word is the one with the greatest start ≤ token start, else
-    the next word; it must overlap the token.
+_WSTRUCT = "struct<word_idx:int,start:int,end:int>"
 
-    ``words`` is long ``(key, word_idx, start, end)``; tokens need ``start``, ``end``."""
-    wl = Window.partitionBy(key).orderBy("word_idx")
-    wrows = words.select(key, "word_idx", "start", "end").select(
-        "*", F.lead(F.struct("word_idx", "start", "end")).over(wl).alias("_next"))
-    firsts = words.groupBy(key).agg(F.min_by(F.struct("word_idx", "start", "end"), F.col("word_idx")).alias("_next"))
-    cur = F.struct("word_idx", "start", "end")
-    w_side = wrows.select(key, F.col("start").alias("_pos"), F.lit(0).alias("_kind"), cur.alias("_cur"), "_next")
-    sentinel = firsts.select(key, F.lit(-1).alias("_pos"), F.lit(0).alias("_kind"),
-                             F.lit(None).cast("struct<word_idx:int,start:int,end:int>").alias("_cur"), "_next")
+
+def _sweep(tokens: DataFrame, words: DataFrame, key: str, word_cols: list[str]) -> DataFrame:
+    """Tokens and words of a document in one position-ordered window.
+
+    Word rows carry their own bounds and the next word's (a ``lead`` over the same
+    window order, so no extra shuffle); the first word also emits a sentinel at
+    position −1 so that tokens before it find it as "next".  Every row gets ``_a``: the
+    last word (and its successor) started at or before its position."""
     tcols = [c for c in tokens.columns if c != key]
-    t_side = tokens.select(key, F.col("start").alias("_pos"), F.lit(1).alias("_kind"),
-                           F.lit(None).cast("struct<word_idx:int,start:int,end:int>").alias("_cur"),
-                           F.lit(None).cast("struct<word_idx:int,start:int,end:int>").alias("_next"),
-                           F.struct(*tcols).alias("_tok"))
-    u = w_side.withColumn("_tok", F.lit(None).cast(t_side.schema["_tok"].dataType)).unionByName(
-        sentinel.withColumn("_tok", F.lit(None).cast(t_side.schema["_tok"].dataType))).unionByName(t_side)
-    win = Window.partitionBy(key).orderBy("_pos", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    tok_t = T.StructType([tokens.schema[c] for c in tcols])
+    extra_t = T.StructType([words.schema[c] for c in word_cols])
+    cur = F.struct("word_idx", "start", "end")
+    w_rows = words.select(
+        key, F.col("start").alias("_pos"), F.lit(0).alias("_kind"), cur.alias("_cur"),
+        F.lit(None).cast(tok_t).alias("_tok"), F.struct(*word_cols).cast(extra_t).alias("_w"))
+    t_rows = tokens.select(
+        key, F.col("start").alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast(_WSTRUCT).alias("_cur"),
+        F.struct(*tcols).alias("_tok"), F.lit(None).cast(extra_t).alias("_w"))
+    u = w_rows.unionByName(t_rows)
+    order = Window.partitionBy(key).orderBy("_pos", "_kind", "_cur.word_idx")
+    words_only = Window.partitionBy(key).orderBy(F.col("_kind"), F.col("_cur.word_idx"))
+    # successor of a word (words sort before tokens, so a lead over (kind, idx) stays in words)
+    u = u.withColumn("_next", F.when(F.col("_kind") == 0, F.lead("_cur").over(words_only)))
+    u = u.withColumn("_first", F.first(F.when(F.col("_kind") == 0, F.col("_cur")), ignorenulls=True).over(
+        Window.partitionBy(key).orderBy("_kind", "_cur.word_idx").rowsBetween(Window.unboundedPreceding,
+                                                                              Window.unboundedFollowing)))
     anchor = F.last(F.when(F.col("_kind") == 0, F.struct(F.col("_cur").alias("c"), F.col("_next").alias("n"))),
-                    ignorenulls=True).over(win)
-    t = u.withColumn("_a", anchor).where(F.col("_kind") == 1)
+                    ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    u = u.withColumn("_a", anchor)
+    # before the first word: the sentinel (no current word, next = first word)
+    return u.withColumn("_a", F.coalesce("_a", F.struct(F.lit(None).cast(_WSTRUCT).alias("c"),
+                                                         F.col("_first").alias("n"))))
+
+
+def _assigned_idx() -> Column:
     ts, te = F.col("_tok.start"), F.col("_tok.end")
 
     def overlaps(w):
         return w.isNotNull() & (F.greatest(w["start"], ts) < F.least(w["end"], te))
     c, n = F.col("_a.c"), F.col("_a.n")
-    idx = F.when(te <= ts, F.lit(None).cast("int")).when(overlaps(c), c["word_idx"]).when(overlaps(n), n["word_idx"])
-    return t.select(key, *[F.col(f"_tok.{x}").alias(x) for x in tcols], idx.alias("word_idx"))
+    return F.when(te <= ts, F.lit(None).cast("int")).when(overlaps(c), c["word_idx"]).when(overlaps(n), n["word_idx"])
+
+
+def assign_words(tokens: DataFrame, words: DataFrame, key: str) -> DataFrame:
+    """Add ``word_idx`` to every token row (NULL when no word overlaps or the token
+    is zero-length).  The word is the one with the greatest start ≤ token start, else
+    the next word; it must overlap the token.
+
+    ``words`` is long ``(key, word_idx, start, end)``; tokens need ``start``, ``end``.
+    Words and tokens of a document meet in one sorted window (one shuffle by ``key``)."""
+    tcols = [c for c in tokens.columns if c != key]
+    sw = _sweep(tokens, words.select(key, "word_idx", "start", "end"), key, [])
+    return sw.where(F.col("_kind") == 1).select(key, *[F.col(f"_tok.{x}").alias(x) for x in tcols],
+                                               _assigned_idx().alias("word_idx"))
 
 
 def word_scores(tokens: DataFrame, words: DataFrame, key: str, prob: str = "prob") -> DataFrame:
     """Per word, the max probability of the tokens assigned to it over all chunks;
-    untouched words 0.0.  ``words`` long ``(key, word_idx, start, end, word)``.
-
-    Word rows (score 0.0) and assigned token rows are grouped by (key, word_idx) in the
-    partitioning of the as-of sweep, so no further shuffle or join is needed."""
-    assigned = assign_words(tokens.where(F.col("end") > F.col("start")).select(key, "start", "end", prob),
-                            words, key)
-    wcols = [c for c in words.columns if c not in (key, "word_idx")]
-    t = assigned.where(F.col("word_idx").isNotNull()).select(
-        key, "word_idx", F.col(prob).alias("_p"), *[F.lit(None).cast(words.schema[c].dataType).alias(c) for c in wcols])
-    w = words.select(key, "word_idx", F.lit(0.0).alias("_p"), *wcols)
-    agg = w.unionByName(t).groupBy(key, "word_idx").agg(
-        F.max("_p").alias("score"), *[F.max(c).alias(c) for c in wcols])
+    untouched words 0.0.  ``words`` long ``(key, word_idx, start, end, word...)``.
+
+    One sweep: word rows (score 0.0, carrying their columns) and assigned token rows are
+    grouped by (key, word_idx) inside the sweep's partitioning — the words are read once,
+    with no further shuffle or join."""
+    wcols = [c for c in words.columns if c not in (key, "word_idx", "start", "end")]
+    toks = tokens.where(F.col("end") > F.col("start")).select(key, "start", "end", prob)
+    sw = _sweep(toks, words, key, wcols)
+    is_word = F.col("_kind") == 0
+    idx = F.when(is_word, F.col("_cur.word_idx")).otherwise(_assigned_idx())
+    p = F.when(is_word, F.lit(0.0)).otherwise(F.col(f"_tok.{prob}"))
+    rows = sw.select(key, idx.alias("word_idx"), p.alias("_p"),
+                     F.when(is_word, F.col("_cur.start")).alias("start"), F.when(is_word, F.col("_cur.end")).alias("end"),
+                     *[F.col(f"_w.{c}").alias(c) for c in wcols]).where(F.col("word_idx").isNotNull())
+    agg = rows.groupBy(key, "word_idx").agg(F.max("_p").alias("score"), F.max("start").alias("start"),
+                                            F.max("end").alias("end"), *[F.max(c).alias(c) for c in wcols])
     return agg.select(*words.columns, "score")
 
 

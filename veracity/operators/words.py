@@ -19,30 +19,30 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracity.functions.text import NON_WS_RUN, WS_CLASS_JAVA
-from veracity.schema import WORDS
 
 _WORD_RE = re.compile(r"\S+")  # Python \S: the complement of str.isspace()
 
 
-@F.pandas_udf(WORDS)
-def _word_spans_udf(texts: pd.Series) -> pd.Series:
-    out = []
-    for text in texts:
-        if text is None:
-            out.append(None)
-            continue
-        out.append([
-            {"start": m.start(), "end": m.end(), "word": m.group(0)}
-            for m in _WORD_RE.finditer(text)
-        ])
-    return pd.Series(out)
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _word_starts_udf(texts: pd.Series) -> pd.Series:
+    """Code-point start offsets of the ``\\S+`` runs (ints only: cheap Arrow transfer)."""
+    return pd.Series([None if t is None else [m.start() for m in _WORD_RE.finditer(t)] for t in texts])
 
 
 def word_spans(text) -> Column:
-    """``array<struct<start int, end int, word string>>`` of the ``\\S+`` runs of ``text``."""
-    return _word_spans_udf(F.col(text) if isinstance(text, str) else text)
+    """``array<struct<start int, end int, word string>>`` of the ``\\S+`` runs of ``text``.
+
+    Word strings come from ``regexp_extract_all`` with the same whitespace class (JVM);
+    only the start offsets, a prefix sum Spark has no array function for, come from an
+    Arrow UDF; ``end = start + length(word)``."""
+    c = F.col(text) if isinstance(text, str) else text
+    words = F.regexp_extract_all(c, F.lit(f"({NON_WS_RUN})"), 1)
+    z = F.arrays_zip(_word_starts_udf(c).alias("s"), words.alias("w"))
+    return F.transform(z, lambda e: F.struct(e["s"].alias("start"), (e["s"] + F.length(e["w"])).cast("int").alias("end"),
+                                             e["w"].alias("word")))
 
 
 def word_rows(df: DataFrame, key: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
