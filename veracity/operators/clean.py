@@ -159,6 +159,9 @@ def article_rules(df: DataFrame) -> dict[str, Column]:
         "blank_text": is_blank("text"),
         "unknown_label": F.col("label_norm").isNull(),
     }
+    if {"emotion_spans", "exaggeration_spans"} <= set(df.columns):
+        # stage-2 rows must be annotated when the index models are trained
+        rules["stage2_without_spans"] = F.col("label_norm").isin("fake", "satire") & ~span_complete(df)
     for c in ["total_attention", "emotion_score", "exaggeration_score"]:
         if c in df.columns:
             rules[f"{c}_out_of_range"] = F.col(c).isNotNull() & ((F.col(c) < 0) | (F.col(c) > 1))

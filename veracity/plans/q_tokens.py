@@ -441,3 +441,19 @@ def q_soft_ratio(spark, sf_dir):
     pct = ((F.col("doc_id") * 13 + F.col("tok_pos") * 7 + F.col("chunk_idx") * 3) % 100).cast("double")
     out = TK.soft_ratio(ct.withColumn("prob", pct), table(spark, sf_dir, "documents"), "doc_id")
     return out.select("doc_id", (F.col("soft_ratio") / 100).alias("soft_ratio"))
+
+
+@query("missing_report_sink", f"""
+SELECT {SPLIT_TAG_SQL} AS split, CAST(doc_id AS VARCHAR) AS id, CAST(doc_id AS VARCHAR) AS row_key
+FROM documents WHERE doc_id % 5 = 0 OR doc_id % 6 = 0
+""")
+def q_missing_report_sink(spark, sf_dir):
+    """The missing-span report written as CSV (before a policy acts) and read back
+    as strings."""
+    from veracity.sources import articles as A
+    f = span_frame(spark, sf_dir)
+    parts = {s: f.where(F.col("split") == s).drop("split") for s in ("train", "validation")}
+    path = A.scratch_path(spark, "missing-report")
+    A.write_csv(K.missing_span_report(parts), path)
+    back = A.read_articles_csv(spark, path, delimiter=",", encoding="utf-8", keep_blank=True)
+    return back.select("split", "id", "row_key")
