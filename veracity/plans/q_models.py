@@ -12,7 +12,7 @@ from veracity.operators import models as MD
 from veracity.operators import splits as S
 from veracity.operators import tokens as TK
 from veracity.operators import tuning as C
-from veracity.plans.q_tokens import MAX_LENGTH, STRIDE, chunk_token_scores
+from veracity.plans.q_tokens import chunk_token_scores
 from veracity.plans.registry import query, table
 from veracity.sources import articles as A
 from veracity.sources.bundle import load_bundle, save_bundle
@@ -124,5 +124,3 @@ def q_run_training(spark, sf_dir):
     out = run_training(articles(spark, sf_dir), A.scratch_path(spark, "progress"))
     return out["report"].select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
-
-__all__ = ["MAX_LENGTH", "STRIDE"]
