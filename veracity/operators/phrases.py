@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veracity.functions.text import regex_quote
+from veracity.functions.text import NON_WS_RUN, regex_quote
 from veracity.operators.words import word_rows
 
 
@@ -79,6 +79,41 @@ def _phrase_anchors(phrases: DataFrame, phrase_key: str, phrase: str) -> DataFra
     return best.select(phrase_key, "a.*")
 
 
+def _keyed(words: DataFrame, doc_key: str, shapes: list, with_base: bool) -> DataFrame | None:
+    """Doc-side anchor keys ``(doc_key, kind, klen, key[, base])`` for the needed shapes.
+    ``base`` (needs word offsets) is the document offset the phrase would start at plus
+    the anchor's offset inside the phrase."""
+    def base(c):
+        return [c.alias("base")] if with_base else []
+    keyed = []
+    if any(k == "word" for k, _ in shapes):
+        keyed.append(words.select(doc_key, F.lit("word").alias("kind"), F.length("word").alias("klen"),
+                                  F.col("word").alias("key"), *base(F.col("start") if with_base else None)))
+    for kind, klen in sorted({s for s in shapes if s[0] != "word"}):
+        w = words.where(F.length("word") >= klen)
+        if kind == "prefix":
+            keyed.append(w.select(doc_key, F.lit(kind).alias("kind"), F.lit(klen).alias("klen"),
+                                  F.substring("word", 1, klen).alias("key"),
+                                  *base(F.col("start") if with_base else None)))
+        elif kind == "suffix":
+            keyed.append(w.select(doc_key, F.lit(kind).alias("kind"), F.lit(klen).alias("klen"),
+                                  F.substring("word", -klen, klen).alias("key"),
+                                  *base((F.col("end") - klen) if with_base else None)))
+        else:  # substring of one doc word
+            pos = F.explode(F.sequence(F.lit(0), F.length("word") - klen)).alias("i")
+            cols = ["word", "start"] if with_base else ["word"]
+            keyed.append(w.select(doc_key, *cols, pos).select(
+                doc_key, F.lit(kind).alias("kind"), F.lit(klen).alias("klen"),
+                F.substring("word", F.col("i") + 1, klen).alias("key"),
+                *base((F.col("start") + F.col("i")) if with_base else None)))
+    if not keyed:
+        return None
+    out = keyed[0]
+    for k in keyed[1:]:
+        out = out.unionByName(k)
+    return out
+
+
 def find_phrases(
     docs: DataFrame,
     phrases: DataFrame,
@@ -94,36 +129,20 @@ def find_phrases(
     """
     anchors = _phrase_anchors(phrases.where(F.length(phrase) > 0), phrase_key, phrase).cache()
     shapes = [(r["kind"], r["klen"]) for r in anchors.select("kind", "klen").distinct().collect()]
-    words = word_rows(docs.select(doc_key, text), doc_key, text)
-
-    keyed = []
-    if any(k == "word" for k, _ in shapes):
-        keyed.append(words.select(
-            doc_key, F.lit("word").alias("kind"), F.length("word").alias("klen"),
-            F.col("word").alias("key"), F.col("start").alias("base"),
-        ))
-    for kind, klen in sorted({s for s in shapes if s[0] != "word"}):
-        w = words.where(F.length("word") >= klen)
-        if kind == "prefix":
-            keyed.append(w.select(doc_key, F.lit(kind).alias("kind"), F.lit(klen).alias("klen"),
-                                  F.substring("word", 1, klen).alias("key"), F.col("start").alias("base")))
-        elif kind == "suffix":
-            keyed.append(w.select(doc_key, F.lit(kind).alias("kind"), F.lit(klen).alias("klen"),
-                                  F.substring("word", -klen, klen).alias("key"),
-                                  (F.col("end") - klen).alias("base")))
-        else:  # substring of one doc word
-            pos = F.explode(F.sequence(F.lit(0), F.length("word") - klen)).alias("i")
-            keyed.append(w.select(doc_key, "word", "start", pos).select(
-                doc_key, F.lit(kind).alias("kind"), F.lit(klen).alias("klen"),
-                F.substring("word", F.col("i") + 1, klen).alias("key"),
-                (F.col("start") + F.col("i")).alias("base")))
-    if not keyed:
+    if not shapes:
         return docs.sparkSession.createDataFrame(
             [], f"{doc_key} long, {phrase_key} long, start int, end int")
-    doc_keys = keyed[0]
-    for k in keyed[1:]:
-        doc_keys = doc_keys.unionByName(k)
+    # exact pre-filter: a document can only hold an occurrence if its distinct words
+    # contain the anchor key (JVM regex, no offsets); offsets are computed for those only
+    distinct_words = docs.select(doc_key, F.explode(F.array_distinct(
+        F.regexp_extract_all(F.col(text), F.lit(f"({NON_WS_RUN})"), 1))).alias("word"))
+    candidates = _keyed(distinct_words, doc_key, shapes, with_base=False).join(
+        anchors.select("kind", "klen", "key").distinct(), ["kind", "klen", "key"], "left_semi").select(
+        doc_key).distinct()
+    docs = docs.join(candidates, doc_key, "left_semi")
+    words = word_rows(docs.select(doc_key, text), doc_key, text)
 
+    doc_keys = _keyed(words, doc_key, shapes, with_base=True)
     cand = doc_keys.join(anchors, ["kind", "klen", "key"]).select(
         doc_key, phrase_key, "phrase", "plen",
         (F.col("base") - F.col("koff")).cast("int").alias("start"),

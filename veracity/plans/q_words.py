@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from veracity.operators.phrases import find_phrases
 from veracity.operators.spans import word_ratio_rows
-from veracity.operators.words import word_rows
+from veracity.operators.words import word_count, word_rows
 from veracity.plans.registry import query, table
 from veracity.plans.sqlparts import BENCH_HITS, DOC_WORDS, LABEL_CLASS
 
@@ -21,12 +21,21 @@ def label_class(labels):
 
 
 def doc_word_ratios(spark, sf_dir):
+    """Per document ``(doc_id, n_words, n_marked, ratio)`` and the phrase hits.
+
+    Word counts of all documents are native (``regexp_extract_all``); word offsets and
+    the overlap sweep are only computed for the documents that have a hit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
     hits = find_phrases(docs, bench, "doc_id", "text", "item_id", "text")
-    words = word_rows(docs, "doc_id")
+    hit_docs = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     spans = hits.select("doc_id", "start", "end", F.lit(1.0).alias("score"))
-    return word_ratio_rows(docs, words, spans, "doc_id"), hits
+    marked = word_ratio_rows(hit_docs, word_rows(hit_docs, "doc_id"), spans, "doc_id").select("doc_id", "n_marked")
+    counts = docs.select("doc_id", word_count("text").cast("long").alias("n_words"))
+    per_doc = counts.join(marked, "doc_id", "left").select(
+        "doc_id", "n_words", F.coalesce("n_marked", F.lit(0)).cast("long").alias("n_marked"))
+    ratio = F.when(F.col("n_words") > 0, F.col("n_marked") / F.col("n_words")).otherwise(F.lit(0.0))
+    return per_doc.withColumn("ratio", ratio), hits
 
 
 def benchmark_word_ratio(spark, sf_dir):
