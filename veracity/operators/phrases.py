@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions.text import NON_WS_RUN, regex_quote
 from veracity.operators.words import word_rows
+from veracity.session import ensure_checkpoint_dir
 
 
 def phrase_starts(text, phrase) -> Column:
@@ -136,9 +137,11 @@ def find_phrases(
     # contain the anchor key (JVM regex, no offsets); offsets are computed for those only
     distinct_words = docs.select(doc_key, F.explode(F.array_distinct(
         F.regexp_extract_all(F.col(text), F.lit(f"({NON_WS_RUN})"), 1))).alias("word"))
+    ensure_checkpoint_dir(docs.sparkSession)
+    # the candidate ids feed two branches below: materialise them once (reliable checkpoint)
     candidates = _keyed(distinct_words, doc_key, shapes, with_base=False).join(
         anchors.select("kind", "klen", "key").distinct(), ["kind", "klen", "key"], "left_semi").select(
-        doc_key).distinct()
+        doc_key).distinct().checkpoint(eager=True)
     docs = docs.join(candidates, doc_key, "left_semi")
     words = word_rows(docs.select(doc_key, text), doc_key, text)
 

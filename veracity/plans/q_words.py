@@ -27,7 +27,8 @@ def doc_word_ratios(spark, sf_dir):
     the overlap sweep are only computed for the documents that have a hit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    hits = find_phrases(docs, bench, "doc_id", "text", "item_id", "text")
+    # hits are few and feed three branches: computed once (reliable checkpoint)
+    hits = find_phrases(docs, bench, "doc_id", "text", "item_id", "text").checkpoint(eager=True)
     hit_docs = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     spans = hits.select("doc_id", "start", "end", F.lit(1.0).alias("score"))
     marked = word_ratio_rows(hit_docs, word_rows(hit_docs, "doc_id"), spans, "doc_id").select("doc_id", "n_marked")
