@@ -117,3 +117,72 @@ def score_with(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
         for pdf in batches:
             yield fn(pdf)
     return df.mapInPandas(run, schema)
+
+
+def _murmur3_x86_32(data: bytes, seed: int = 42) -> int:
+    """Standard MurmurHash3 x86 32-bit (the term hash of Spark's feature hashers), signed."""
+    c1, c2, m = 0xCC9E2D51, 0x1B873593, 0xFFFFFFFF
+    h = seed & m
+    n4 = len(data) - len(data) % 4
+    for i in range(0, n4, 4):
+        k = int.from_bytes(data[i:i + 4], "little")
+        k = (k * c1) & m
+        k = ((k << 15) | (k >> 17)) & m
+        h ^= (k * c2) & m
+        h = ((h << 13) | (h >> 19)) & m
+        h = (h * 5 + 0xE6546B64) & m
+    k = 0
+    for j, b in enumerate(data[n4:]):
+        k ^= b << (8 * j)
+    if len(data) % 4:
+        k = (k * c1) & m
+        k = ((k << 15) | (k >> 17)) & m
+        h ^= (k * c2) & m
+    h ^= len(data)
+    h ^= h >> 16
+    h = (h * 0x85EBCA6B) & m
+    h ^= h >> 13
+    h = (h * 0xC2B2AE35) & m
+    h ^= h >> 16
+    return h - (1 << 32) if h >= 1 << 31 else h
+
+
+def hashed_index(num_features: int):
+    """Arrow UDF: the feature index ``HashingTF`` gives a term."""
+    @F.pandas_udf("int")
+    def idx(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: _murmur3_x86_32(w.encode("utf-8")) % num_features)
+    return idx
+
+
+def stage1_evidence(model: PipelineModel, docs: DataFrame, key: str, text: str = "text", k: int = 8) -> DataFrame:
+    """M5 evidence: per document, the k words with the largest share of
+    |coefficient · tf · idf| (first occurrence offsets), as ``array<struct<word,start,end,score>>``.
+
+    The feature index of a word is the hasher's own (MurmurHash3 x86_32, seed 42,
+    modulo the feature count), computed for the distinct words of each document; the
+    weights are a table of at most ``numFeatures`` rows joined on the index."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.feature import HashingTF, IDFModel
+
+    from veracity.operators.tokens import top_evidence
+    from veracity.operators.words import word_rows
+
+    stages = model.stages
+    htf = next(s for s in stages if isinstance(s, HashingTF))
+    idf = next(s for s in stages if isinstance(s, IDFModel))
+    lr = next(s for s in stages if isinstance(s, LogisticRegressionModel))
+    n = htf.getNumFeatures()
+    coef, idf_v = lr.coefficients.toArray(), idf.idf.toArray()
+    nz = [(int(i), float(coef[i] * idf_v[i])) for i in range(n) if coef[i] != 0.0]
+    weights = docs.sparkSession.createDataFrame(nz, "_idx int, _w double")  # ≤ numFeatures rows
+    words = word_rows(docs.select(key, text), key, text)
+    per_word = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"), F.min("start").alias("start"),
+                                              F.min("end").alias("end"), F.min("word_idx").alias("word_idx"))
+    per_word = per_word.withColumn("_idx", hashed_index(n)("word"))
+    contrib = per_word.join(weights, "_idx").withColumn("_c", F.abs(F.col("tf") * F.col("_w")))
+    tot = contrib.groupBy(key).agg(F.sum("_c").alias("_t"))
+    scored = contrib.join(tot, key).select(key, "word_idx", "word", "start", "end",
+                                           F.when(F.col("_t") > 0, F.col("_c") / F.col("_t")).otherwise(0.0)
+                                           .alias("score"))
+    return top_evidence(scored, key, k).withColumnRenamed("evidence", "stage1_evidence")

@@ -46,6 +46,20 @@ def q_fit_suspicion(spark, sf_dir):
                       F.round("suspicious_probability", 6).alias("suspicious_probability"))
 
 
+@query("score_stage1")
+def q_score_stage1(spark, sf_dir):
+    """M5: STAGE1_SCORES with evidence on the held-out rows (rows-only)."""
+    s = split(spark, sf_dir).cache()
+    model = MD.fit_suspicion(s.where(F.col("split") == "train"), num_features=1 << 16, max_iter=30)
+    test = s.where(F.col("split") != "train")
+    scores = MD.score_logit(model, test).select("row_key", "suspicious_probability")
+    ev = MD.stage1_evidence(model, test.select("row_key", "text"), "row_key")
+    out = scores.join(ev, "row_key", "left")
+    return out.select("row_key", F.round("suspicious_probability", 6).alias("suspicious_probability"),
+                      F.size("stage1_evidence").alias("n_evidence"),
+                      F.col("stage1_evidence")[0]["word"].alias("top_word"))
+
+
 @query("fit_irony")
 def q_fit_irony(spark, sf_dir):
     s = split(spark, sf_dir).cache()
