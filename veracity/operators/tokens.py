@@ -105,12 +105,7 @@ _WSTRUCT = "struct<word_idx:int,start:int,end:int>"
 
 
 def _sweep(tokens: DataFrame, words: DataFrame, key: str, word_cols: list[str]) -> DataFrame:
-    """Tokens and words of a document in one position-ordered window.
-
-    Word rows carry their own bounds and the next word's (a ``lead`` over the same
-    window order, so no extra shuffle); the first word also emits a sentinel at
-    position −1 so that tokens before it find it as "next".  Every row gets ``_a``: the
-    last word (and its successor) started at or before its position."""
+    """Tokens and words of a document in one position-ordered window (see ``_sweep_union``)."""
     tcols = [c for c in tokens.columns if c != key]
     tok_t = T.StructType([tokens.schema[c] for c in tcols])
     extra_t = T.StructType([words.schema[c] for c in word_cols])
@@ -121,7 +116,14 @@ def _sweep(tokens: DataFrame, words: DataFrame, key: str, word_cols: list[str])
     t_rows = tokens.select(
         key, F.col("start").alias("_pos"), F.lit(1).alias("_kind"), F.lit(None).cast(_WSTRUCT).alias("_cur"),
         F.struct(*tcols).alias("_tok"), F.lit(None).cast(extra_t).alias("_w"))
-    u = w_rows.unionByName(t_rows)
+    return _sweep_union(w_rows.unionByName(t_rows), key)
+
+
+def _sweep_union(u: DataFrame, key: str) -> DataFrame:
+    """``u``: ``(key, _pos, _kind, _cur, _tok, _w)`` rows of words (kind 0) and tokens
+    (kind 1).  Word rows get the next word (a ``lead`` over the same partition, no extra
+    shuffle); tokens before the first word see it as "next" (sentinel).  Every row gets
+    ``_a``: the last word (and its successor) started at or before its position."""
     order = Window.partitionBy(key).orderBy("_pos", "_kind", "_cur.word_idx")
     words_only = Window.partitionBy(key).orderBy(F.col("_kind"), F.col("_cur.word_idx"))
     # successor of a word (words sort before tokens, so a lead over (kind, idx) stays in words)
@@ -168,7 +170,10 @@ def word_scores(tokens: DataFrame, words: DataFrame, key: str, prob: str = "prob
     with no further shuffle or join."""
     wcols = [c for c in words.columns if c not in (key, "word_idx", "start", "end")]
     toks = tokens.where(F.col("end") > F.col("start")).select(key, "start", "end", prob)
-    sw = _sweep(toks, words, key, wcols)
+    return _scores_from_sweep(_sweep(toks, words, key, wcols), key, prob, wcols)
+
+
+def _scores_from_sweep(sw: DataFrame, key: str, prob: str, wcols: list[str]) -> DataFrame:
     is_word = F.col("_kind") == 0
     idx = F.when(is_word, F.col("_cur.word_idx")).otherwise(_assigned_idx())
     p = F.when(is_word, F.lit(0.0)).otherwise(F.col(f"_tok.{prob}"))
@@ -177,7 +182,7 @@ def word_scores(tokens: DataFrame, words: DataFrame, key: str, prob: str = "prob
                      *[F.col(f"_w.{c}").alias(c) for c in wcols]).where(F.col("word_idx").isNotNull())
     agg = rows.groupBy(key, "word_idx").agg(F.max("_p").alias("score"), F.max("start").alias("start"),
                                             F.max("end").alias("end"), *[F.max(c).alias(c) for c in wcols])
-    return agg.select(*words.columns, "score")
+    return agg.select(key, "word_idx", "start", "end", *wcols, "score")
 
 
 def word_index(word_scores_df: DataFrame, key: str, threshold: float, docs: DataFrame | None = None) -> DataFrame:
