@@ -35,3 +35,13 @@ def test_json_envelopes(spark):
         df = A.read_articles_json(spark, p)
         r = df.first()
         assert r["text"] == "본문" and json.loads(r["emotion_spans"]) == [{"phrase": "본"}], name
+
+
+def test_ndjson_lines(spark):
+    d = tempfile.mkdtemp()
+    p = os.path.join(d, "a.json")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write(json.dumps({"넘버링": 1, "내용": "가", "라벨": "진짜", "emotion_spans": ["가"]}, ensure_ascii=False) + "\n")
+        f.write(json.dumps({"넘버링": 2, "내용": "나", "라벨": "가짜"}, ensure_ascii=False) + "\n")
+    rows = sorted((r["id"], r["text"], r["emotion_spans"]) for r in A.read_articles_json(spark, p, lines=True).collect())
+    assert rows == [("1", "가", '["가"]'), ("2", "나", None)]

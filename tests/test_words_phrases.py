@@ -29,3 +29,9 @@ def test_find_phrases_brute_force(spark):
     want = sorted((d, i, m.start(), m.end()) for d, t in TEXTS for i, p in PHRASES
                   for m in re.finditer(re.escape(p), t))
     assert got == want
+
+
+def test_find_phrases_without_usable_phrases(spark):
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    ph = spark.createDataFrame([(1, "   "), (2, "")], "item_id long, text string")
+    assert find_phrases(docs, ph).count() == 0
