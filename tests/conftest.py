@@ -13,4 +13,4 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from veracity.session import local_session
 
-    return local_session("*")
+    return local_session("*", **{"spark.driver.memory": "8g"})

@@ -7,6 +7,7 @@ Library code never builds its own session: every operator takes DataFrames and u
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,15 +21,12 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
 }
 
 
 def local_session(cores: str = "*", app: str = "veracity", **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = {**LOCAL_CONF, **extra}
-    # local runs only: a scratch checkpoint folder when none is configured
-    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="veracity-ckpt-"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -40,17 +38,35 @@ def local_session(cores: str = "*", app: str = "veracity", **extra: str) -> Spar
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is only read.  Only when it is
-    unset (tests, local runs) a scratch folder is created and registered.
+    On a cluster the setting names a folder that the driver and all executors share, and is
+    only read; it is an error if it is missing there.  Only a session in one JVM (tests)
+    gets a scratch folder of its own when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        master = sc.master or ""
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="veracity-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, so that they can import it wherever it is run from.
+
+    Once per Spark application; Spark distributes the archive.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_veracity_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="veracity-py-"), "veracity")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    sc._veracity_shipped = True
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
