@@ -45,4 +45,8 @@ LABELLED_PAGES: tuple[str, ...] = (
     """<body><nav><a href=/a>Home</a></nav><div><a href=/1>One</a></div><div><a href=/2>Two and three</a></div>
     <footer>&copy; Someone</footer></body>""",
     f"""<body><header><h1>Site</h1><p>{S}</p></header><form><p>Search</p></form><footer>{L}.</footer></body>""",
+    # text alone
+    f"<body data-main>{L}. {L}.</body>",
+    f"<body data-main>{L}{L}</body>",
+    f"<body data-main><p>{S} {S}</p><p>{L}</p></body>",
 )
