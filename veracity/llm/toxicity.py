@@ -172,7 +172,7 @@ def token_labels(codes: np.ndarray, n: np.ndarray, spelled: list[str], toxic: np
     """Labels of words from labels of texts.
 
     A feature is toxic if it is found in far more toxic texts than clean ones: a G-test
-    above ``2 ln(number of features in three texts or more)``, and at least 20 times as often.  A word of a
+    above ``3 ln(number of features in three texts or more)``, and at least 20 times as often.  A word of a
     toxic text is labelled 1 if one of its features is toxic.
     """
     f, k = buckets(spelled)
@@ -192,12 +192,12 @@ def token_labels(codes: np.ndarray, n: np.ndarray, spelled: list[str], toxic: np
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (np.where(bad > 0, bad * np.log(bad / (total * rate)), 0)
                  + np.where(good > 0, good * np.log(good / (total * (1 - rate))), 0))
-    flagged = (g > 2 * np.log(max(2, np.count_nonzero(bad + good >= 3)))) & (bad / nb > 20 * good / ng)
+    flagged = (g > 3 * np.log(max(2, np.count_nonzero(bad + good >= 3)))) & (bad / nb > 20 * good / ng)
     is_bad = np.maximum.reduceat(flagged[f], word_at) if len(f) else np.zeros(0, bool)
     return is_bad[codes] & toxic[doc]
 
 
-def fit(texts: list[str | None], toxic: np.ndarray, class_size: tuple[int, int], steps: int = 60,
+def fit(texts: list[str | None], toxic: np.ndarray, class_size: tuple[int, int], steps: int = 40,
         rate: float = 0.5, decay: float = 1e-6) -> Model:
     """Train on a bounded sample of labelled texts.
 
@@ -273,7 +273,7 @@ def sample(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int)
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], bool), (size.get(0, 0), size.get(1, 0))
 
 
-def score(docs: DataFrame, labels: DataFrame, toxic_rows: int = 1500, clean_rows: int = 4500) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, toxic_rows: int = 1000, clean_rows: int = 3000) -> DataFrame:
     """Per document: ``doc_id, held_out, score, predicted, spans``.
 
     ``spans`` are the words with a marginal of 1/2 or more (code point ``start`` and
