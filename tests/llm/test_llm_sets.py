@@ -276,7 +276,7 @@ def test_winnowing(spark):
     for r in flat.select("doc_id", "at", F.shiftright(F.xxhash64(*pick).bitwiseAND(F.lit(0x7FFFFFFF << 32)), 32).alias("h")).orderBy("doc_id", "at").collect():
         hashes[r["doc_id"]].append(r["h"])
     for r in rows:
-        want = " ".join(f"{h:X}:{at}" for h, at in brute_winnow(hashes[r["doc_id"]], 8)) if hashes[r["doc_id"]] else ""
+        want = " ".join(f"{h:X}:{at}" for h, at in brute_winnow(hashes[r["doc_id"]], fingerprint.WINDOW)) if hashes[r["doc_id"]] else ""
         assert r["p"] == want
 
 

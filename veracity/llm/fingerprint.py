@@ -13,7 +13,7 @@ from veracity.llm.common import let
 #: character of a script that has no spaces between words.
 UNIT = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[^ \t-\r]{1,3}"
 K = 4
-WINDOW = 8
+WINDOW = 4
 LAST = 0x7FFFFFFF
 MAX_BLOCKS = 1 << 16
 
