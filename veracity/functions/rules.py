@@ -60,8 +60,8 @@ def decision_reason(p, threshold, e, x, i, rule: dict) -> Column:
 
 
 def suspicious_target(label) -> Column:
-    """fake, satire → 1; real → 0."""
-    return F.when(_c(label).isin("fake", "satire"), F.lit(1)).otherwise(F.lit(0))
+    """fake, satire → 1; real → 0; an unknown or NULL label has no target."""
+    return F.when(_c(label).isin("fake", "satire"), F.lit(1)).when(_c(label) == "real", F.lit(0))
 
 
 def stage2_target(label) -> Column:

@@ -93,10 +93,12 @@ def with_labels(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_numeric_scores(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """tolerant numeric parse of the score columns (unparsable → NULL)."""
+    """numeric parse of the score columns (unparsable, NaN or with underscores → NULL)."""
     for c in cols or NUMERIC_COLUMNS:
         if c in df.columns:
-            df = df.withColumn(c, safe_float(F.col(c)))
+            x = safe_float(F.col(c))
+            plain = ~F.col(c).cast("string").contains("_") & ~F.isnan(x)
+            df = df.withColumn(c, F.when(plain, x))
     return df
 
 
@@ -149,7 +151,8 @@ def validate(df: DataFrame, rules: dict[str, Column], key: str, sample: int = 10
 
 def check_range(df: DataFrame, cols: list[str], key: str, lo: float = 0.0, hi: float = 1.0) -> DataFrame:
     """per column, rows outside [lo, hi] and the first 10 keys."""
-    rules = {c: F.col(c).isNotNull() & ((F.col(c) < lo) | (F.col(c) > hi)) for c in cols}
+    rules = {c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) & ((F.col(c) < lo) | (F.col(c) > hi))
+             for c in cols}
     return validate(df, rules, key).withColumnRenamed("rule", "column")
 
 

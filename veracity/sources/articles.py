@@ -99,15 +99,17 @@ def read_articles_json(spark: SparkSession, path, encoding: str = "utf-8", lines
     reader = spark.read.option("encoding", charset).option("primitivesAsString", True)
     if lines:
         return annotations_to_json(conform_columns(reader.json(path)))
-    doc = reader.option("multiLine", True).json(path)
-    fields = {f.name: f.dataType for f in doc.schema.fields}
-    for key in JSON_ENVELOPE_KEYS:
-        if key in fields and isinstance(fields[key], T.ArrayType):
-            inner = doc.select(F.explode(key).alias("r"))
-            if isinstance(fields[key].elementType, T.StructType):
-                inner = inner.select("r.*")
-            return annotations_to_json(conform_columns(inner))
-    return annotations_to_json(conform_columns(doc))
+    # one row per file; the envelope is decided for each file on its own
+    raw = spark.read.format("binaryFile").load(path).select(F.decode("content", charset).alias("t"))
+    v = raw.where(F.trim("t") != "").select(F.parse_json(F.ltrim(F.regexp_replace("t", "^\ufeff", ""))).alias("v"))
+    kind = F.schema_of_variant("v")
+    held = F.coalesce(*[F.try_variant_get("v", f"$.{k}", "array<variant>") for k in JSON_ENVELOPE_KEYS])
+    records = (F.when(kind.startswith("ARRAY"), F.expr("try_variant_get(v, '$', 'array<variant>')"))
+               .otherwise(F.coalesce(held, F.array("v"))))
+    rows = v.select(F.explode(records).alias("r")).select(F.expr("cast(r AS map<string, variant>)").alias("m"))
+    keys = [r[0] for r in rows.select(F.explode(F.map_keys("m")).alias("k")).distinct().orderBy("k").collect()]
+    cols = [F.try_element_at("m", F.lit(k)).cast("string").alias(k) for k in keys]
+    return conform_columns(rows.select(*cols))
 
 
 def annotations_to_json(df: DataFrame) -> DataFrame:
