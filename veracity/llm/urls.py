@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veracity.llm.common import checkpoint
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host and path prefix)
 RULES: tuple[tuple[str, str], ...] = (
@@ -134,7 +136,7 @@ def judge(pages: DataFrame, docs: DataFrame, rules: tuple[tuple[str, str], ...]
     u = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     name, verdict = rule(F.col("host"), F.col("path"), rules)
     u = u.withColumns({"rule": name, "by_rule": verdict})
-    tokens = host_tokens(u.select("host").distinct(), unigrams(docs))
+    tokens = checkpoint(host_tokens(u.select("host").distinct(), unigrams(docs)))
     u = u.join(tokens, "host", "left").withColumn("segments", F.coalesce("words", F.array().cast("array<string>"))).drop("words")
     bag = F.concat(F.transform("segments", lambda x: F.concat(F.lit("h:"), x)),
                    F.transform(path_tokens(F.col("path")), lambda x: F.concat(F.lit("p:"), x)))
