@@ -319,8 +319,9 @@ def word_sets(t):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-@pytest.mark.parametrize("part_size", [512, 6])
-def test_jaccard(spark, part_size):
+@pytest.mark.parametrize(("part_size", "keys"), [(512, 1_000_000), (6, 1_000_000), (6, 0)])
+def test_jaccard(spark, monkeypatch, part_size, keys):
+    monkeypatch.setattr(jaccard, "BROADCAST_KEYS", keys)
     rng = random.Random(10)
     passage = words(rng, 60)
     texts = []
