@@ -34,7 +34,21 @@ def word_count(text: Column) -> Column:
     return F.when(t == "", 0).otherwise(F.size(F.split(t, SPACE)) - at_start - at_end).cast("long")
 
 
+#: Spark's switch for shuffle files to go when the execution that wrote them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``."""
+    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    Nothing reads the shuffle files behind a written checkpoint, so they go at once instead of
+    at the driver's next garbage collection; the session's setting is put back.
+    """
+    conf = df.sparkSession.conf
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()  # the setting is read where a plan is built
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
