@@ -46,32 +46,34 @@ LABELS_SQL = "CASE WHEN l.toxic = 1 THEN 'satire' WHEN l.quality = 1 THEN 'real'
 
 @query("clean_articles", f"""
 SELECT d.doc_id, {LABELS_SQL} AS label_norm,
-       CASE WHEN l.toxic = 1 OR l.quality <> 1 THEN 1 ELSE 0 END AS suspicious_target,
-       CASE WHEN l.toxic = 1 THEN 1 WHEN l.quality = 1 THEN -1 ELSE 0 END AS stage2_target,
+       CASE WHEN l.toxic = 1 OR l.quality <> 1 THEN 1 WHEN l.quality = 1 THEN 0 END AS suspicious_target,
+       CASE WHEN l.toxic = 1 THEN 1 WHEN l.quality <> 1 THEN 0 ELSE -1 END AS stage2_target,
        length({strip_sql('d.text')}) AS text_len, d.source AS group_id
-FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 WHERE length({strip_sql('d.text')}) > 0
 """)
 def q_clean_articles(spark, sf_dir):
-    a = K.with_labels(K.clean_text(raw_articles(spark, sf_dir))).where(F.col("label").isNotNull())
+    a = K.with_labels(K.clean_text(raw_articles(spark, sf_dir)))
     return a.select("doc_id", "label_norm", "suspicious_target", "stage2_target",
                     F.length("text").cast("bigint").alias("text_len"), "group_id")
 
 
 @query("title_merge", f"""
-WITH t AS (SELECT conv_id, max(text) FILTER (WHERE turn = 0) AS title,
-                  max(text) FILTER (WHERE turn = 1) AS body FROM conversations GROUP BY conv_id)
-SELECT conv_id,
+WITH t AS (SELECT conv_id, max(text) FILTER (WHERE turn = 0) AS title FROM conversations GROUP BY conv_id),
+a AS (SELECT c.conv_id, c.turn, t.title, CASE WHEN c.turn = 0 THEN NULL ELSE c.text END AS body
+      FROM conversations c LEFT JOIN t ON t.conv_id = c.conv_id)
+SELECT conv_id, turn,
   md5({strip_sql(strip_sql("coalesce(title, '')") + " || chr(10) || " + strip_sql("coalesce(body, '')"))}) AS digest,
   length({strip_sql(strip_sql("coalesce(title, '')") + " || chr(10) || " + strip_sql("coalesce(body, '')"))}) AS n_chars
-FROM t
+FROM a
 """)
 def q_title_merge(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    t = c.groupBy("conv_id").agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("title"),
-                                 F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("text"))
-    m = K.merge_title(t)
-    return m.select("conv_id", F.md5("text").alias("digest"), F.length("text").cast("bigint").alias("n_chars"))
+    """Every turn is an article; the first turn of its conversation is the title."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    t = c.where("turn = 0").groupBy("conv_id").agg(F.max("text").alias("title"))
+    a = c.join(t, "conv_id", "left").withColumn("text", F.when(F.col("turn") == 0, None).otherwise(F.col("text")))
+    m = K.merge_title(a)
+    return m.select("conv_id", "turn", F.md5("text").alias("digest"), F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query("row_key", """

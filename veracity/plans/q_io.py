@@ -20,11 +20,11 @@ KOREAN_HEADERS = {"id": "넘버링", "text": "내용", "label": "라벨", "group
 
 @query("csv_roundtrip", f"""
 SELECT d.doc_id, {LABELS_SQL} AS label_norm, length({strip_sql('d.text')}) AS text_len
-FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 WHERE length({strip_sql('d.text')}) > 0
 """)
 def q_csv_roundtrip(spark, sf_dir):
-    raw = raw_articles(spark, sf_dir).where(F.col("label").isNotNull()).drop("doc_id")
+    raw = raw_articles(spark, sf_dir).drop("doc_id")
     raw = raw.select(*[F.col(c).alias(KOREAN_HEADERS[c]) for c in raw.columns])
     path = A.scratch_path(spark, "articles-csv")
     A.write_csv(raw, path, delimiter="|")
@@ -36,12 +36,12 @@ def q_csv_roundtrip(spark, sf_dir):
 
 @query("json_roundtrip", f"""
 SELECT d.doc_id, {LABELS_SQL} AS label_norm, count(t.start) AS n_spans
-FROM documents d JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN ({THIRD_SQL}) t ON t.doc_id = d.doc_id
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN ({THIRD_SQL}) t ON t.doc_id = d.doc_id
 GROUP BY d.doc_id, l.toxic, l.quality
 """)
 def q_json_roundtrip(spark, sf_dir):
     from veracity.operators.words import word_spans
-    raw = raw_articles(spark, sf_dir).where(F.col("label").isNotNull())
+    raw = raw_articles(spark, sf_dir)
     w3 = F.try_element_at(word_spans("text"), F.lit(3))["word"]
     nested = raw.select("id", "text", "label", F.when(w3.isNotNull(), F.array(F.struct(
         w3.alias("phrase"), ((F.col("doc_id") % 10) / 10).alias("score")))).otherwise(
@@ -80,9 +80,9 @@ def q_progress_roundtrip(spark, sf_dir):
 
 @query("encoding_detect")
 def q_encoding_detect(spark, sf_dir):
-    """The labelled articles written as UTF-8, UTF-8 with BOM and CP949 files;
+    """All articles written as UTF-8, UTF-8 with BOM and CP949 files;
     rows-only (the expected encodings are the ones written)."""
-    raw = raw_articles(spark, sf_dir).where(F.col("label").isNotNull()).select(
+    raw = raw_articles(spark, sf_dir).select(
         F.concat_ws("|", "id", F.regexp_replace("text", "[\r\n|]", " "), "label").alias("value"))
     base = A.scratch_path(spark, "encodings")
     A._legacy_charsets(spark)

@@ -8,7 +8,7 @@ from veracity.operators import pooling as PL
 from veracity.operators import tokens as TK
 from veracity.operators.words import word_rows
 from veracity.plans import jobs as J
-from veracity.plans.q_scores import RULE, SCORED, SQL_DECIDE, THRESHOLD, _reason_sql, scored
+from veracity.plans.q_scores import RULE, SCORED, SCORED_ALL, SQL_DECIDE, THRESHOLD, _reason_sql, scored
 from veracity.plans.q_tokens import CHUNK_TOK_SQL, MAX_LENGTH, STRIDE, tokens_frame
 from veracity.plans.registry import query, table
 from veracity.plans.sqlparts import DOC_WORDS
@@ -91,8 +91,8 @@ def q_attention_evidence(spark, sf_dir):
 # ----------------------------------------------------------------------------- phase 7: composed jobs
 
 
-def _tables(spark, sf_dir):
-    s = scored(spark, sf_dir)
+def _tables(spark, sf_dir, labelled=True):
+    s = scored(spark, sf_dir, labelled)
     stage1 = s.select("row_key", F.col("p").alias("suspicious_probability"))
     idx = s.select("row_key", "emotion_index", "exaggeration_index")
     irony = s.select("row_key", "irony_index")
@@ -149,10 +149,10 @@ SELECT row_key,
   CASE WHEN p < CAST({THRESHOLD!r} AS DOUBLE) THEN '{REASON_STAGE1}'
        ELSE {_reason_sql()} END AS decision_reason,
   CASE WHEN p >= CAST({THRESHOLD!r} AS DOUBLE) THEN round(irony_index, 6) END AS irony_index
-FROM ({SCORED})
+FROM ({SCORED_ALL})
 """)
 def q_detect(spark, sf_dir):
-    stage1, idx, irony, _ = _tables(spark, sf_dir)
+    stage1, idx, irony, _ = _tables(spark, sf_dir, labelled=False)
 
     def stage2(survivors):
         return survivors.join(idx, "row_key").join(irony, "row_key")

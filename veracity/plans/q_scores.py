@@ -28,11 +28,11 @@ THRESHOLD = 0.4
 TEMPERATURE = 1.7
 
 
-def scored(spark, sf_dir):
-    """Labelled documents with stand-in model outputs."""
+def scored(spark, sf_dir, labelled: bool = True):
+    """Documents (those with a label, or all) with stand-in model outputs."""
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "source")
     lab = table(spark, sf_dir, "labels")
-    j = d.join(lab, "doc_id")
+    j = d.join(lab, "doc_id", "inner" if labelled else "left")
     doc = F.col("doc_id")
     return j.select(
         doc.alias("row_key"),
@@ -60,6 +60,7 @@ SCORED = """
          CASE WHEN l.toxic = 1 THEN 1 WHEN l.quality = 1 THEN -1 ELSE 0 END AS stage2_label
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id
 """
+SCORED_ALL = SCORED.replace("JOIN labels", "LEFT JOIN labels")
 
 
 def _r(c, name):
@@ -211,20 +212,20 @@ def q_average_precision(spark, sf_dir):
 @query("mae_rmse", f"""
 SELECT round(avg(abs(irony_score - irony_index)), 6) AS mae,
        round(sqrt(avg((irony_score - irony_index) * (irony_score - irony_index))), 6) AS rmse,
-       count(*) AS n FROM ({SCORED})
+       count(*) AS n FROM ({SCORED_ALL})
 """)
 def q_mae_rmse(spark, sf_dir):
-    out = M.mae_rmse(scored(spark, sf_dir), "irony_score", "irony_index")
+    out = M.mae_rmse(scored(spark, sf_dir, labelled=False), "irony_score", "irony_index")
     return out.select(_r("mae", "mae"), _r("rmse", "rmse"), "n")
 
 
 @query("quantiles", f"""
 SELECT unnest(CAST({[*C.DECILES, 0.75]!r} AS DOUBLE[])) AS q,
        unnest(list_transform(quantile_cont(emotion_index, {[*C.DECILES, 0.75]!r}), lambda v: round(v, 6))) AS value
-FROM ({SCORED})
+FROM ({SCORED_ALL})
 """)
 def q_quantiles(spark, sf_dir):
-    out = C.quantiles(scored(spark, sf_dir), "emotion_index", [*C.DECILES, 0.75])
+    out = C.quantiles(scored(spark, sf_dir, labelled=False), "emotion_index", [*C.DECILES, 0.75])
     return out.select("q", _r("value", "value"))
 
 
@@ -279,10 +280,10 @@ def q_bce(spark, sf_dir):
 
 
 @query("apply_temperature", f"""
-SELECT row_key, round(1 / (1 + exp(-logit / {_lit(TEMPERATURE)})), 6) AS calibrated FROM ({SCORED})
+SELECT row_key, round(1 / (1 + exp(-logit / {_lit(TEMPERATURE)})), 6) AS calibrated FROM ({SCORED_ALL})
 """)
 def q_apply_temperature(spark, sf_dir):
-    s = scored(spark, sf_dir)
+    s = scored(spark, sf_dir, labelled=False)
     return s.select("row_key", _r(C.apply_temperature("logit", TEMPERATURE), "calibrated"))
 
 
@@ -445,10 +446,10 @@ def _reason_sql():
 
 
 @query("stage2_reason", f"""
-SELECT {_reason_sql()} AS reason, count(*) AS n FROM ({SCORED}) GROUP BY 1
+SELECT {_reason_sql()} AS reason, count(*) AS n FROM ({SCORED_ALL}) GROUP BY 1
 """)
 def q_stage2_reason(spark, sf_dir):
-    s = scored(spark, sf_dir)
+    s = scored(spark, sf_dir, labelled=False)
     return s.groupBy(stage2_reason("emotion_index", "exaggeration_index", "irony_index", RULE).alias("reason")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -459,12 +460,12 @@ def _cascade_sql():
 SELECT row_key, {SQL_DECIDE} AS final_label,
        CASE WHEN p < {_lit(THRESHOLD)} THEN '{REASON_STAGE1}' ELSE {_reason_sql()} END AS decision_reason,
        p >= {_lit(THRESHOLD)} AS stage1_passed
-FROM ({SCORED})"""
+FROM ({SCORED_ALL})"""
 
 
 @query("cascade", _cascade_sql())
 def q_cascade(spark, sf_dir):
-    s = scored(spark, sf_dir)
+    s = scored(spark, sf_dir, labelled=False)
     e, x, i = "emotion_index", "exaggeration_index", "irony_index"
     return s.select("row_key", decide("p", THRESHOLD, e, x, i, RULE).alias("final_label"),
                     decision_reason("p", THRESHOLD, e, x, i, RULE).alias("decision_reason"),
