@@ -11,8 +11,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from veracity.llm import chat, fingerprint, graph, jaccard, lines, mixing, packing
+from veracity.llm import chat, common, fingerprint, graph, jaccard, lines, mixing, packing
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -462,3 +463,36 @@ def test_contract():
     names = list(entry.queries())
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_sketches_keep_similar_pairs(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9)))
+    grams = lambda t: {t[i:i + 5] for i in range(len(t) - 4)} or {t}
+    rows, want = [], set()
+    for i in range(150):
+        a = [word() for _ in range(rng.randint(12, 70))]
+        b = list(a)
+        for _ in range(rng.randint(0, max(1, len(a) // 12))):
+            b[rng.randrange(len(b))] = word()
+        x, y = " ".join(a), " ".join(b)
+        rows += [(2 * i, x), (2 * i + 1, y)]
+        if 100 * len(grams(x) & grams(y)) >= 75 * len(grams(x) | grams(y)):
+            want.add((2 * i, 2 * i + 1))
+    apart = {(4 * i, 4 * i + 2) for i in range(70)}
+    rows += [(1000, "one two"), (1001, "")]
+    df = spark.createDataFrame(rows, "node long, line string")
+    distinct = lines.signed(df).select("node", F.struct("keys", "sketch").alias("sig"))
+    pairs = spark.createDataFrame([*want, *apart, (0, 1000), (1000, 1001)], "hub long, node long")
+    got = {tuple(r) for r in lines.plausible(pairs, distinct).collect()}
+    assert len(want) > 100 and want <= got
+    assert {(0, 1000), (1000, 1001)} <= got  # lines of few words are always verified
+    assert len(apart & got) <= 2
+
+
+def test_checkpoint_puts_the_setting_back(spark):
+    before = spark.conf.get(common.CLEANUP)
+    d = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    c = common.checkpoint(d)
+    assert c.count() == 7 and c.agg(F.sum("count")).first()[0] == 100 and d.count() == 7
+    assert spark.conf.get(common.CLEANUP) == before
