@@ -247,6 +247,36 @@ def test_line_dedup(spark):
     assert lines.dedup(df.limit(0)).count() == 0
 
 
+def classes(spark, text):
+    """Line to the place of the line that stands for it, of one text without repeated lines."""
+    at = text.split("\n")
+    drop = lines.dedup(docs_of(spark, [(1, text)])).first()["dropped"]
+    to = {x["line_no"]: x["keep_line_no"] for x in drop}
+    return {x: to.get(i, i) for i, x in enumerate(at)}
+
+
+def test_line_dedup_of_templates(spark):
+    rng = random.Random(3)
+    head = " ".join(words(rng, 20, "abcdefghijklmnop"))
+    at = []
+    for _ in range(300):
+        a = words(rng, 10, "abcdefghijklmnop")
+        b = list(a)
+        b[rng.randrange(10)] = words(rng, 1)[0]
+        at += [f"{head} {' '.join(a)}", f"{head} {' '.join(b)}"]
+    at += [f"Posted on 2021-{i:05d} by {words(rng, 1)[0]}" for i in range(200)]
+    at = list(dict.fromkeys(at))
+    rng.shuffle(at)
+    root = classes(spark, "\n".join(at))
+    df = spark.createDataFrame([(x,) for x in at], "line string")
+    keys = {r["line"]: set(r["keys"]) for r in lines.signed(df).collect()}
+    sets = {x: grams(x) for x in at}
+    links = [(a, b) for a, b in itertools.combinations(at, 2) if keys[a] & keys[b]
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert len(links) > 250
+    assert [(a, b) for a, b in links if root[a] != root[b]] == []
+
+
 # fingerprints
 
 
