@@ -277,6 +277,25 @@ def test_line_dedup_of_templates(spark):
     assert [(a, b) for a, b in links if root[a] != root[b]] == []
 
 
+def test_line_dedup_of_short_lines(spark):
+    at = ["Read more", "Read more.", "Share this", "Share this!", "Contact us", "Contact us.", "Subscribe", "Subscribe!",
+          "Reply", "Reply all now", "- - - -", "- " * 80 + "-"]
+    root = classes(spark, "\n".join(at))
+    for i in (0, 2, 4, 6, 10):
+        assert root[at[i + 1]] == root[at[i]] == i
+    assert root["Reply"] != root["Reply all now"]
+    rng = random.Random(4)
+    short = ["".join(rng.choice("abc ") for _ in range(rng.randrange(5, 20))).strip() for _ in range(400)]
+    short += [x + c for x in short for c in "!x"]
+    short = sorted({x for x in short if x})
+    df = spark.createDataFrame([(x,) for x in short], "line string")
+    keys = {r["line"]: set(r["keys"]) for r in lines.signed(df).collect()}
+    sets = {x: grams(x) for x in short}
+    for a, b in itertools.combinations(short, 2):
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and min(len(sets[a]), len(sets[b])) <= 15:
+            assert keys[a] & keys[b], (a, b)
+
+
 # fingerprints
 
 
