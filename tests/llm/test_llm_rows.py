@@ -79,6 +79,21 @@ with <b>bold</b> &#233; and&nbsp;<a href=x>link</a>.</p><!-- hidden --><p>Yes.<p
 <footer>&copy; me</footer></body></html>"""
 
 
+def test_extract_pages_with_raw_scripts_and_open_heads():
+    def text(page):
+        return [b.text for b in extract.blocks(page)]
+
+    script = "<script>for(i=0;i<n;i++){x+=i}</script>"
+    assert text(f"<body><p>One.</p>{script}<p>Two.</p></body>") == ["One.", "Two."]
+    assert text(f"<html><head><title>a <b</title>{script}</head><body><p>One.</p></body>") == ["One."]
+    assert text("<style>a<b{}</STYLE ><p>One.</p><textarea>x <i</textarea>Two.<script>a</scripty> b") == ["One.", "Two."]
+    assert text(f"<svg>{script}<text>no</text></svg><p>One.</p>") == ["One."]
+    open_ = "<html><head><meta charset=utf-8><title>T</title><noscript>no</noscript>"
+    assert text(f"{open_}<body><p>One.</p></body></html>") == ["One."]
+    assert text(f"{open_}<link rel=x><div>One.</div><head>Two.") == ["One.", "Two."]
+    assert text(f"{open_}{script} One. <p>Two.") == ["One.", "Two."]
+
+
 def test_extract(spark):
     cut = "<body><article><p>Whole text here.</p><p>Cut &am"
     rows = [(1, "u", PAGE), (2, "u", None), (3, None, ""), (4, "u", "<body><nav><a href=/>x</a></nav></body>"),

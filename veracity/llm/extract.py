@@ -19,7 +19,11 @@ MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: Elements whose content is never text of the page.
-HIDDEN = frozenset("script style noscript template svg math iframe object textarea select button title head".split())
+HIDDEN = frozenset("script style noscript template svg math iframe object textarea select button title".split())
+#: Those of them whose content has no tags: only their own end tag ends it.
+RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in "script style iframe textarea title".split()}
+#: Elements that do not end the head; any other does, its own end tag left out or not.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 #: Elements that do not end a block.
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
@@ -54,7 +58,9 @@ def blocks(page: str | None) -> list[Block]:
     """Flat text blocks of a page in its order.
 
     Character references are decoded, white space inside a block is one space.  Scripts,
-    styles, comments and a tag that the end of the page cuts off are no text.  A region
+    styles, comments and a tag that the end of the page cuts off are no text; a script, style,
+    title or the like ends at its own end tag, whatever is in it.  The head has no text; it ends
+    with its end tag or before the first element or text that belongs to the body.  A region
     ends where its element ends, or an element around it.
     """
     page = page or ""
@@ -66,6 +72,7 @@ def blocks(page: str | None) -> list[Block]:
     anchors = 0
     heading = False
     hidden = ""
+    head = began = False  # inside the head; past the start of the head or body
     at = 0
 
     def flush() -> None:
@@ -77,14 +84,16 @@ def blocks(page: str | None) -> list[Block]:
         linked = 0
 
     def more(raw: str) -> None:
-        nonlocal linked
+        nonlocal linked, head, began
         if raw and not hidden:
+            if not raw.isspace():
+                head, began = False, True
             decoded = entities.unescape(raw) if "&" in raw else raw
             text.append(decoded)
             if anchors:
                 linked += len(decoded.split())
 
-    for m in MARKUP.finditer(page):
+    while m := MARKUP.search(page, at):
         if m.start() > at:
             more(page[at:m.start()])
         at = m.end()
@@ -92,10 +101,22 @@ def blocks(page: str | None) -> list[Block]:
         if name is None:
             continue
         name = name.lower()
+        if name in RAW and not close and not attributes.endswith("/"):
+            if not hidden:
+                flush()
+            end = RAW[name].search(page, at)
+            at = end.end() if end else len(page)
+            continue
         if hidden:
             if close and name == hidden:
                 hidden = ""
             continue
+        if name == "head":
+            flush()
+            head, began = not close and not began, True
+            continue
+        if name not in IN_HEAD and not close:
+            head, began = False, True
         if name in HIDDEN:
             if not close and not attributes.endswith("/"):
                 hidden = name
