@@ -24,6 +24,22 @@ def test_csv_encodings(spark):
     assert rows[2][0] == "3"
 
 
+def test_csv_files_of_other_column_orders(spark):
+    d = os.path.join(tempfile.mkdtemp(), "two words")
+    os.mkdir(d)
+    for name, text in {"a": "id|text|label\n1|aaa|real\n", "b": "\n\nid|label|text\n2|fake|bbb\n",
+                       "c": 'id|"more\nx"|label\n3|u|real\n', "d": 'id|"more\ny"|label\n4|v|fake\n',
+                       "e": "text|id|label\n가|5|가짜\n", "f": "id|text|label\n6|ccc|fake\n"}.items():
+        _write(os.path.join(d, f"{name}.csv"), text, "cp949" if name == "e" else "utf-8")
+    rows = {r["id"]: r.asDict() for r in A.read_articles_csv(spark, d, delimiter="|").collect()}
+    got = {k: (r["text"], r["label"], r["more\nx"], r["more\ny"]) for k, r in rows.items()}
+    assert got == {"1": ("aaa", "real", None, None), "2": ("bbb", "fake", None, None), "3": (None, "real", "u", None),
+                   "4": (None, "fake", None, "v"), "5": ("가", "가짜", None, None), "6": ("ccc", "fake", None, None)}
+    again = A.read_articles_csv(spark, [os.path.join(d, x) for x in ("a.csv", "b.csv")], "|", "utf-8", keep_blank=True)
+    assert sorted(tuple(r) for r in again.select("id", "text", "label").collect()) == [
+        ("1", "aaa", "real"), ("2", "bbb", "fake")]
+
+
 def test_json_envelopes(spark):
     d = tempfile.mkdtemp()
     recs = [{"id": 1, "title": "t", "text": "본문", "label": "real", "emotion_spans": [{"phrase": "본"}]}]

@@ -7,7 +7,8 @@
   CP949 / EUC-KR need ``spark.sql.legacy.javaCharsets`` (set here).
 * Delimited files use the CSV source with ``multiLine`` (quoted line breaks) — such a
   file is not splittable, so scale comes from many files.  All columns are read as
-  strings; pandas' default NA spellings become NULL.
+  strings; pandas' default NA spellings become NULL.  Files are read in groups of one
+  header line, each with its own, and the groups meet by column name.
 * JSON: a document holding a list, an envelope object (first list-valued key of
   data / records / items / news / articles) or one object; newline-delimited JSON is
   read as is (the scalable form).
@@ -18,6 +19,7 @@ from __future__ import annotations
 import os
 import uuid
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,18 @@ def detect_encoding(spark: SparkSession, paths) -> DataFrame:
     return agg.select("path", enc.alias("encoding"))
 
 
+def header_lines(spark: SparkSession, paths) -> DataFrame:
+    """``(path, header)`` per file that has a line: its first line that is not empty, as hex
+    digits; a line whose quotes stay open (a header of several lines) has its path added."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("i"), "value").where("at = 0 AND value != ''")
+    first = lines.groupBy("path").agg(F.min_by("value", "i").alias("v"))
+    digits = F.hex(F.col("v").cast("binary"))
+    quotes = F.length("v") - F.length(F.replace("v", F.lit('"'), F.lit("")))
+    return first.select("path", F.when(quotes % 2 == 1, F.concat_ws(" ", digits, "path")).otherwise(digits).alias("header"))
+
+
 def _null_na(df: DataFrame) -> DataFrame:
     na = F.array(*[F.lit(s) for s in PANDAS_NA_STRINGS])
     return df.select(*[F.when(F.array_contains(na, F.col(f"`{c}`")), F.lit(None).cast("string"))
@@ -81,8 +95,19 @@ def read_articles_csv(spark: SparkSession, path, delimiter: str = "|", encoding:
             groups.setdefault(JAVA_CHARSET[r["encoding"]], []).append(r["path"])
     else:
         groups = {JAVA_CHARSET.get(encoding.lower(), encoding): paths}
+    header = {r["path"]: r["header"] for r in header_lines(spark, paths).collect()}  # one row per file
+    if len(set(header.values())) > 1:
+        listed = groups if encoding == "auto" else {c: list(header) for c in groups}
+        same: dict[tuple[str, str | None], list[str]] = {}
+        for charset, ps in listed.items():
+            for p in ps:
+                same.setdefault((charset, header.get(p)), []).append(p)
+    else:
+        same = {(charset, None): ps for charset, ps in groups.items()}
     frames = []
-    for charset, ps in groups.items():
+    for (charset, _), ps in same.items():
+        if encoding == "auto" or len(set(header.values())) > 1:
+            ps = [unquote(p) for p in ps]  # _metadata.file_path is an escaped URI
         r = _csv_reader(spark, delimiter, charset)
         if keep_blank:
             r = r.option("emptyValue", "").option("nullValue", "\u0000__never__")
