@@ -161,7 +161,8 @@ def stage1_evidence(model: PipelineModel, docs: DataFrame, key: str, text: str =
 
     The feature index of a word is the hasher's own (MurmurHash3 x86_32, seed 42,
     modulo the feature count), computed for the distinct words of each document; the
-    weights are a table of at most ``numFeatures`` rows joined on the index."""
+    weights are a table of at most ``numFeatures`` rows joined on the index.  Every word is
+    ranked; one without a weight (such as a word not seen in training) has score 0."""
     from pyspark.ml.classification import LogisticRegressionModel
     from pyspark.ml.feature import HashingTF, IDFModel
 
@@ -180,7 +181,8 @@ def stage1_evidence(model: PipelineModel, docs: DataFrame, key: str, text: str =
     per_word = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"), F.min("start").alias("start"),
                                               F.min("end").alias("end"), F.min("word_idx").alias("word_idx"))
     per_word = per_word.withColumn("_idx", hashed_index(n)("word"))
-    contrib = per_word.join(weights, "_idx").withColumn("_c", F.abs(F.col("tf") * F.col("_w")))
+    contrib = per_word.join(weights, "_idx", "left").withColumn(
+        "_c", F.abs(F.col("tf") * F.coalesce("_w", F.lit(0.0))))
     tot = contrib.groupBy(key).agg(F.sum("_c").alias("_t"))
     scored = contrib.join(tot, key).select(key, "word_idx", "word", "start", "end",
                                            F.when(F.col("_t") > 0, F.col("_c") / F.col("_t")).otherwise(0.0)
