@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracity.llm import chat, extract, fingerprint, jaccard, lines, mixing, packing, quality, toxicity, urls
+from veracity.llm import (
+    alignment,
+    chat,
+    exact_dedup,
+    extract,
+    fingerprint,
+    jaccard,
+    lines,
+    mixing,
+    packing,
+    quality,
+    toxicity,
+    urls,
+    whitening,
+)
 from veracity.plans.registry import table
+from veracity.session import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -72,6 +87,23 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a file stream watches a folder: the table's file, or folder of files, is matched by a glob
+    path = table_path(sf_dir, "documents*")
+    return exact_dedup.dedup(spark, path).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 # DuckDB twins
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -149,3 +181,8 @@ edge AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.r = edge.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r) AS component_id
 FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY ALL"""
+
+ORACLE["op13_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
