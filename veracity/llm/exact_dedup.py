@@ -51,6 +51,8 @@ def ingest(spark: SparkSession, path: str, state: str, id_col: str = "doc_id", t
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # a batch opens each part of the state once: without this all stay open on disk and in memory
+    session.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     schema = spark.read.parquet(path).select(id_col, text_col).schema
     docs = session.readStream.schema(schema).option("maxBytesPerTrigger", str(batch)).parquet(path)
     rows = located(docs, id_col, text_col).select(digest(F.col("text")).alias("digest"), "doc_id", "at")
