@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from veracity.session import ensure_checkpoint_dir
 
 #: Bytes of text that a task aligns at a time; a longer text is taken alone.
-SLICE = 8 << 20
+SLICE = 4 << 20
 SPACE = 0x20
 
 
