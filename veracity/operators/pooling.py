@@ -36,13 +36,12 @@ def softmax_pool(df: DataFrame, group: list[str], score: str, vec: str, mask: st
         F.sum(F.col("weight") * F.col("x").cast("double")).alias("value"))
 
 
-def attention_evidence(chunk_tokens_df: DataFrame, chunks: DataFrame, words: DataFrame, key: str,
+def attention_evidence(token_rows: DataFrame, chunks: DataFrame, docs: DataFrame, key: str,
                        k: int = 8) -> DataFrame:
     """Token weight × chunk weight, max per word (A11), top-k words.
 
-    ``chunk_tokens_df``: ``(key, chunk_idx, start, end, weight)``;
-    ``chunks``: ``(key, chunk_idx, chunk_weight)``; ``words`` long."""
-    t = chunk_tokens_df.join(chunks, [key, "chunk_idx"]).select(
-        key, "start", "end", (F.col("weight") * F.col("chunk_weight")).alias("prob"))
-    scores = TK.word_scores(t, words, key)
-    return TK.top_evidence(scores, key, k)
+    ``token_rows``: ``tokens.token_rows(..., words=True)`` with ``weight``;
+    ``chunks``: ``(key, chunk_idx, chunk_weight)``; ``docs``: ``(key, text)``."""
+    t = token_rows.join(chunks, [key, "chunk_idx"], "left").withColumn(
+        "prob", F.col("weight") * F.col("chunk_weight"))
+    return TK.evidence(TK.word_maxima(t, key), docs, key, k=k)

@@ -1,30 +1,36 @@
-"""Tokens, chunks and word evidence.
-
-* Tokens are computed beside the text (row-local arrays), so token positions need no
-  shuffle.  The built-in tokenizer cuts every whitespace word into pieces of at most
-  ``piece`` characters (sub-word style, offsets exact); ``regex_tokens`` plugs in any
-  Python regular expression through an Arrow UDF.
-* Chunks: a token at position ``pos`` belongs to chunks
-  ``ceil((pos-W+1)/step) .. floor(pos/step)`` (W = max_length - 2, step = W - stride),
-  generated with ``sequence`` — no self-join.  Every chunk has two zero-length special
-  tokens, like the encoder input.
-* Token → word (J5) is an as-of join: tokens and words of a document are sorted
-  together by start offset and every token takes the last word started at or before it
-  (or the next one).  One shuffle by key; no token × word pairs.
+"""Tokens, chunks and word evidence.
+
+* ``token_rows`` is one Arrow pass over the texts, without a shuffle: a tokenizer of
+  ``offsets`` gives the token offsets; overlapping chunks with their special tokens, the word
+  of every token, the score of the spans over it and the text of its neighbours follow by
+  offset arithmetic on the flat arrays of a batch.
+* A word's score (``word_maxima``) is then one aggregate by (document, word) with map-side
+  combining; the words themselves do not travel, ``with_words`` reads the few that are
+  asked for from the text again.
+* ``chunk_tokens`` makes the same chunks from given token arrays.  ``assign_words`` and
+  ``word_scores`` serve token and word tables that come from elsewhere in long form: tokens and
+  words of a document are sorted together by start offset (one shuffle by key).
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veracity.operators import offsets as O
 from veracity.schema import DEFAULT_EVIDENCE_K, SPECIAL_TOKENS_PER_CHUNK
 
 TOKEN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+#: Neighbours of the first and last token of a chunk.
+FIRST, LAST = "<s>", "</s>"
 
 
 def _c(c) -> Column:
@@ -64,38 +70,143 @@ def n_chunks(n_tokens: Column, max_length: int, stride: int) -> Column:
     return F.when(n_tokens <= w, F.lit(1)).otherwise(F.ceil((n_tokens - w) / F.lit(step)).cast("int") + 1)
 
 
-def chunk_tokens(df: DataFrame, key: str, tokens: str, max_length: int, stride: int,
-                 keep: list[str] | None = None) -> DataFrame:
-    """A8 + A10: ``(key, chunk_idx, pos, tok_pos, start, end)`` with the special tokens
-    (``pos`` 0 and last, zero-length offsets, ``tok_pos`` NULL) of every chunk.
-
-    One row-local array per document (content entries, then two specials per chunk)
-    exploded once: the input is read a single time."""
+def _window(max_length: int, stride: int) -> tuple[int, int]:
+    """Content tokens of a chunk, and tokens from one chunk's start to the next."""
     w = max_length - SPECIAL_TOKENS_PER_CHUNK
-    step = w - stride
     if not (0 <= stride < w):
         raise ValueError(f"stride must satisfy 0 <= stride < {w}")
-    keep = keep or []
-    base = df.select(key, *keep, _c(tokens).alias("_t")).withColumn("_n", F.size("_t"))
-    base = base.withColumn("_nc", n_chunks(F.col("_n"), max_length, stride))
+    return w, w - stride
 
-    def entry(c, pos, tok_pos, start, end):
-        return F.struct(c.cast("int").alias("chunk_idx"), pos.cast("int").alias("pos"),
-                        tok_pos.cast("int").alias("tok_pos"), start.cast("int").alias("start"),
-                        end.cast("int").alias("end"))
 
-    def per_token(tk, i):
-        first = F.greatest(F.lit(0), F.ceil((i - w + 1) / F.lit(step)).cast("int"))
-        last = F.least(F.col("_nc") - 1, F.floor(i / F.lit(step)).cast("int"))
-        return F.transform(F.sequence(first, last), lambda c: entry(c, i - c * step + 1, i, tk["start"], tk["end"]))
+def _ints(values: np.ndarray, missing: np.ndarray | None = None) -> pa.Array:
+    return pa.array(values.astype(np.int32), pa.int32(), mask=missing)
 
-    content = F.flatten(F.transform("_t", per_token))
-    # chunk c holds tokens c*step .. min(n, c*step + W) - 1, framed by two special tokens
-    none = F.lit(None)
-    specials = F.flatten(F.transform(F.sequence(F.lit(0), F.col("_nc") - 1), lambda c: F.array(
-        entry(c, F.lit(0), none, F.lit(0), F.lit(0)),
-        entry(c, F.greatest(F.lit(0), F.least(F.col("_n") - c * step, F.lit(w))) + 1, none, F.lit(0), F.lit(0)))))
-    return base.select(key, *keep, F.explode(F.concat(content, specials)).alias("_r")).select(key, *keep, "_r.*")
+
+def chunk_tokens(df: DataFrame, key: str, tokens: str, max_length: int, stride: int,
+                 keep: list[str] | None = None) -> DataFrame:
+    """A8 + A10: ``(key, chunk_idx, pos, tok_pos, start, end)`` with the special tokens
+    (``pos`` 0 and last, zero-length offsets, ``tok_pos`` NULL) of every chunk, from the token
+    arrays of each row (NULL: none)."""
+    width, step = _window(max_length, stride)
+    src = df.select(key, *(keep or []), _c(tokens).alias("_t"))
+    rest = src.columns[:-1]
+    names = [*rest, "chunk_idx", "pos", "tok_pos", "start", "end"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                ranges, _ = O.list_ranges(batch.column("_t"))
+                c = O.chunk(ranges, width, step)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(x).take(pa.array(c.doc)) for x in rest), *_chunk_columns(c, ranges)], names)
+
+    schema = T.StructType([*(src.schema[x] for x in rest), *(T.StructField(x, T.IntegerType()) for x in names[len(rest):])])
+    return src.mapInArrow(run, schema)
+
+
+def _chunk_columns(c: O.Chunks, tokens: O.Ranges) -> list[pa.Array]:
+    special = c.token < 0
+    at = np.where(special, 0, c.token)
+    none = np.zeros(1, np.int64)
+    index, start, end = (x if len(x) else none for x in (tokens.index(), tokens.start, tokens.end))
+    return [_ints(c.chunk), _ints(c.pos), _ints(index[at], special), _ints(np.where(special, 0, start[at])),
+            _ints(np.where(special, 0, end[at]))]
+
+
+def token_rows(df: DataFrame, key: str, text: str = "text", tokenizer: O.Tokenizer | None = None,
+               max_length: int | None = None, stride: int = 0, spans: dict[str, str] | None = None,
+               words: bool = False, features: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """The tokens of every text in long form, in one pass and without a shuffle.
+
+    ``(key, keep..., chunk_idx, pos, tok_pos, start, end)``: content tokens, once per chunk they are
+    in (without ``max_length`` a text is one chunk).  A NULL text has no row.
+
+    * ``spans``: output column → array column of ``struct<start,end,score>`` beside the text; the largest
+      score of the spans over the token (A9, J4), 0.0 without any or for a NULL array.
+    * ``words``: ``word_idx, word_start, word_end`` of the token's word (J5, NULL without); a word that
+      no token belongs to gets a row of its own with NULL ``chunk_idx``, ``pos`` and ``tok_pos``.
+    * ``features``: ``tok, left, right``, the token and its neighbours within the chunk (M2); the
+      tokens of the tokenizer must not overlap.
+    """
+    spans = spans or {}
+    keep = keep or []
+    tokenizer = tokenizer or O.pieces()
+    window = None if max_length is None else _window(max_length, stride)
+    src = df.select(key, *keep, F.col(text).cast("string").alias("_text"), *(F.col(c).alias(f"_s{i}") for i, c in enumerate(spans.values())))
+    rest = [key, *keep]
+    ints = ["chunk_idx", "pos", "tok_pos", "start", "end"] + (["word_idx", "word_start", "word_end"] if words else [])
+    texts_out = ["tok", "left", "right"] if features else []
+    names = [*rest, *ints, *spans, *texts_out]
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        t = O.Texts(batch.column("_text"))
+        bounds, _ = t.words()
+        tokens = tokenizer(batch.column("_text"), t, bounds)
+        width, step = window or (max(1, int(np.diff(tokens.first).max(initial=0))),) * 2
+        c = O.chunk(tokens, width, step, specials=False)
+        at = c.token
+        doc, alone = c.doc, np.zeros(len(at), bool)
+        numbers = [c.chunk, c.pos, tokens.index()[at], tokens.start[at], tokens.end[at]]
+        if words:
+            own = O.assign(tokens, bounds)
+            flat = np.where(own >= 0, bounds.first[tokens.documents()] + own, -1)
+            untouched = np.ones(len(bounds.start), bool)
+            untouched[flat[flat >= 0]] = False
+            extra = np.flatnonzero(untouched)
+            doc = np.concatenate([doc, bounds.documents()[extra]])
+            word = np.concatenate([flat[at], extra])
+            alone = np.arange(len(doc)) >= len(at)
+            numbers = [np.concatenate([x, y]) for x, y in zip(
+                numbers, [np.zeros(len(extra), int)] * 3 + [bounds.start[extra], bounds.end[extra]], strict=True)]
+            no_word = word < 0
+            word = np.maximum(word, 0)
+        cols = [batch.column(x).take(pa.array(doc)) for x in rest]
+        cols += [_ints(x, alone if i < 3 else None) for i, x in enumerate(numbers)]
+        if words:
+            none = np.zeros(1, np.int64)
+            cols += [_ints(x[word] if len(x) else none[word], no_word) for x in (bounds.index(), bounds.start, bounds.end)]
+        for i in range(len(spans)):
+            own_spans, structs = O.list_ranges(batch.column(f"_s{i}"))
+            scores = pc.fill_null(pc.struct_field(structs, "score"), 0.0).to_numpy(zero_copy_only=False).astype(float)
+            values = O.span_maximum(tokens, own_spans, scores)[at]
+            cols.append(pa.array(np.concatenate([values, np.zeros(len(doc) - len(at))])))
+        if features:
+            strings = t.cut(tokens)
+            same = (c.doc[1:] == c.doc[:-1]) & (c.chunk[1:] == c.chunk[:-1])
+            inner = np.concatenate([[False], same]) if len(at) else same
+            left = strings.take(pa.array(np.where(inner, at - 1, 0), mask=~inner))
+            inner = np.concatenate([same, [False]]) if len(at) else same
+            right = strings.take(pa.array(np.where(inner, at + 1, 0), mask=~inner))
+            missing = pa.nulls(len(doc) - len(at), pa.large_string())
+            for col in (strings.take(pa.array(at)), left.fill_null(FIRST), right.fill_null(LAST)):
+                cols.append(pa.concat_arrays([col, missing]).cast(pa.string()))
+        return pa.RecordBatch.from_arrays(cols, names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in O.slices(batch.column("_text")):
+                yield rows(batch.slice(lo, hi - lo))
+
+    schema = T.StructType([
+        *(src.schema[x] for x in rest), *(T.StructField(x, T.IntegerType()) for x in ints),
+        *(T.StructField(x, T.DoubleType()) for x in spans), *(T.StructField(x, T.StringType()) for x in texts_out)])
+    return src.mapInArrow(run, schema)
+
+
+def word_maxima(rows: DataFrame, key: str, prob: str = "prob") -> DataFrame:
+    """A11 on ``token_rows(..., words=True)``: ``(key, word_idx, start, end, score)``, the maximum of ``prob``
+    over the tokens of each word and all chunks; words without a token 0.0."""
+    p = F.when(F.col("tok_pos").isNotNull(), F.coalesce(F.col(prob).cast("double"), F.lit(0.0))).otherwise(F.lit(0.0))
+    return rows.where(F.col("word_idx").isNotNull()).groupBy(key, "word_idx").agg(
+        F.max("word_start").alias("start"), F.max("word_end").alias("end"), F.max(p).alias("score"))
+
+
+def with_words(rows: DataFrame, docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Add ``word``, the text from ``start`` to ``end``, by one join with the documents."""
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    word = F.substring(F.col("_text"), F.col("start") + 1, F.col("end") - F.col("start"))
+    return rows.join(texts, F.col(key) == F.col("_key")).withColumn("word", word).drop("_key", "_text")
 
 
 # ----------------------------------------------------------------------------- J5 / A11
@@ -202,7 +313,15 @@ def top_evidence_rows(word_scores_df: DataFrame, key: str, k: int = DEFAULT_EVID
 
 def top_evidence(word_scores_df: DataFrame, key: str, k: int = DEFAULT_EVIDENCE_K) -> DataFrame:
     """``(key, evidence)`` — array of ``{word, start, end, score}`` in rank order."""
-    top = top_evidence_rows(word_scores_df, key, k)
+    return _ranked(top_evidence_rows(word_scores_df, key, k), key)
+
+
+def evidence(scores: DataFrame, docs: DataFrame, key: str, text: str = "text", k: int = DEFAULT_EVIDENCE_K) -> DataFrame:
+    """A13 for scores without their words (``word_maxima``), which come from the documents."""
+    return _ranked(with_words(top_evidence_rows(scores, key, k), docs, key, text), key)
+
+
+def _ranked(top: DataFrame, key: str) -> DataFrame:
     return top.groupBy(key).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "word", "start", "end", "score"))),
         lambda s: F.struct(s["word"].alias("word"), s["start"].alias("start"), s["end"].alias("end"),

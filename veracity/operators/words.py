@@ -2,9 +2,9 @@
 
 Two forms give identical results:
 
-* ``word_spans`` (default): one Arrow-batched pandas UDF per partition returns the
-  word array beside each row.  No shuffle: the words of a document are produced where
-  the document already is, and everything per document stays row-local afterwards.
+* ``word_spans`` (default): one Arrow-batched pass returns the word array beside each
+  row.  No shuffle: the words of a document are produced where the document already is,
+  and everything per document stays row-local afterwards.
 * ``word_rows_native``: built-ins only (``regexp_extract_all`` + ``split`` + a running
   sum window per document).  Needs one shuffle by key unless the input is already
   partitioned by it; useful where Python workers are not available.
@@ -14,35 +14,41 @@ Offsets are code points, like Python's ``len`` and Spark's ``length``.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veracity.functions.text import NON_WS_RUN, WS_CLASS_JAVA
+from veracity.operators.offsets import Texts, slices
 
-_WORD_RE = re.compile(r"\S+")  # Python \S: the complement of str.isspace()
 
+WORD = ["start", "end", "word"]
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _word_starts_udf(texts: pd.Series) -> pd.Series:
-    """Code-point start offsets of the ``\\S+`` runs (ints only: cheap Arrow transfer)."""
-    return pd.Series([None if t is None else [m.start() for m in _WORD_RE.finditer(t)] for t in texts])
 
+@F.arrow_udf(T.ArrayType(T.StructType([
+    T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("word", T.StringType())])))
+def _word_spans_udf(texts: pa.Array) -> pa.Array:
+    """The ``\\S+`` runs of a whole batch at once."""
+    out = []
+    for lo, hi in slices(texts):
+        part = texts.slice(lo, hi - lo)
+        t = Texts(part)
+        words, strings = t.words()
+        flat = pa.StructArray.from_arrays(
+            [pa.array(words.start, pa.int32()), pa.array(words.end, pa.int32()), strings.cast(pa.string())], WORD)
+        rows = pa.ListArray.from_arrays(pa.array(words.first, pa.int32()), flat)
+        if part.null_count:
+            rows = pc.if_else(pc.is_valid(part), rows, pa.scalar(None, rows.type))
+        out.append(rows)
+    none = pa.array([], pa.list_(pa.struct(list(zip(WORD, (pa.int32(), pa.int32(), pa.string()), strict=True)))))
+    return pa.concat_arrays([none, *out])
 
-def word_spans(text) -> Column:
-    """``array<struct<start int, end int, word string>>`` of the ``\\S+`` runs of ``text``.
 
-    Word strings come from ``regexp_extract_all`` with the same whitespace class (JVM);
-    only the start offsets, a prefix sum Spark has no array function for, come from an
-    Arrow UDF; ``end = start + length(word)``."""
-    c = F.col(text) if isinstance(text, str) else text
-    words = F.regexp_extract_all(c, F.lit(f"({NON_WS_RUN})"), 1)
-    z = F.arrays_zip(_word_starts_udf(c).alias("s"), words.alias("w"))
-    return F.transform(z, lambda e: F.struct(e["s"].alias("start"), (e["s"] + F.length(e["w"])).cast("int").alias("end"),
-                                             e["w"].alias("word")))
+def word_spans(text) -> Column:
+    """``array<struct<start int, end int, word string>>`` of the ``\\S+`` runs of ``text`` (NULL: NULL)."""
+    return _word_spans_udf(F.col(text) if isinstance(text, str) else text)
 
 
 def word_rows(df: DataFrame, key: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:

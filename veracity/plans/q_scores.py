@@ -312,13 +312,10 @@ def q_suspicion_threshold(spark, sf_dir):
     return out.select(*[_r(c, c) for c in ("threshold", "recall", "precision", "f1")], "target_recall_satisfied")
 
 
-TOKEN_ROWS_SPARK_NOTE = "word rows of labelled documents with stand-in token targets and probabilities"
-
-
 def token_rows(spark, sf_dir):
+    """Words of all documents with stand-in token targets and probabilities."""
     from veracity.operators.words import word_rows
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
-    w = word_rows(docs, "doc_id")
+    w = word_rows(table(spark, sf_dir, "documents"), "doc_id")
     return w.select("doc_id", "word_idx",
                     (((F.col("doc_id") + F.col("word_idx")) % 7) / 6).alias("target"),
                     (((F.col("doc_id") * 31 + F.col("word_idx") * 17) % 100) / 100).alias("prob"))
@@ -329,7 +326,7 @@ def _token_rows_sql():
     return f"""
     SELECT w.doc_id, w.word_idx, ((w.doc_id + w.word_idx) % 7) / 6 AS target,
            ((w.doc_id * 31 + w.word_idx * 17) % 100) / 100 AS prob
-    FROM ({DOC_WORDS}) w JOIN labels l ON l.doc_id = w.doc_id"""
+    FROM ({DOC_WORDS}) w"""
 
 
 @query("token_threshold", f"""

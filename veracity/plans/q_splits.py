@@ -87,13 +87,12 @@ def q_plain_split(spark, sf_dir):
 
 
 @query("split_articles", f"""
-WITH s AS ({GROUP_SPLIT_SQL}) SELECT s.doc_id, s.split FROM s JOIN labels l ON l.doc_id = s.doc_id
+WITH s AS ({GROUP_SPLIT_SQL}) SELECT doc_id, split FROM s
 """)
 def q_split_articles(spark, sf_dir):
-    # labelled documents carry 20 source groups, so the group mode is chosen
+    # the documents carry 20 source groups, so the group mode is chosen
     d = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("group_id"))
-    out = S.split_articles(d, "doc_id", "group_id")
-    return out.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id").select("doc_id", "split")
+    return S.split_articles(d, "doc_id", "group_id").select("doc_id", "split")
 
 
 @query("split_summary", f"""

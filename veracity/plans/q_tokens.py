@@ -13,8 +13,9 @@ from veracity.operators import clean as K
 from veracity.operators import tokens as TK
 from veracity.operators.annotations import parse_spans
 from veracity.operators.metrics import positive_weight
-from veracity.operators.phrases import find_phrases, phrase_starts
-from veracity.operators.spans import merge_span_rows, token_span_score, word_ratio
+from veracity.operators.offsets import pieces, windows
+from veracity.operators.phrases import find_phrases, phrase_hits, phrase_starts
+from veracity.operators.spans import merge_spans, word_ratio
 from veracity.operators.words import word_rows, word_spans
 from veracity.plans.registry import query, table
 from veracity.plans.sqlparts import BENCH_HITS, DOC_WORDS
@@ -32,20 +33,24 @@ def docs_with_words(spark, sf_dir):
     return d.withColumn("words", word_spans("text"))
 
 
-def third_word_spans(dw):
-    """Occurrences of each document's third word, row-local (A3)."""
+SPAN_ARRAY = "array<struct<start:int,end:int,score:double>>"
+
+
+def docs_with_spans(spark, sf_dir):
+    """Documents with ``spans``: the benchmark passages in them and their third word, beside the text."""
+    dw = docs_with_words(spark, sf_dir)
+    d = phrase_hits(dw, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    bench = F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end"), F.lit(1.0).alias("score")))
     w3 = F.try_element_at("words", F.lit(3))["word"]
-    starts = phrase_starts("text", w3)
-    s = dw.select("doc_id", F.length(w3).alias("plen"), F.explode(starts).alias("start"),
-                  ((F.col("doc_id") % 10) / 10).alias("score"))
-    return s.select("doc_id", "start", (F.col("start") + F.col("plen")).cast("int").alias("end"), "score")
+    plen, score = F.length(w3), (F.col("doc_id") % 10) / 10
+    own = F.transform(phrase_starts("text", w3), lambda s: F.struct(
+        s.alias("start"), (s + plen).cast("int").alias("end"), score.alias("score")))
+    return d.select("doc_id", "text", F.concat(bench.cast(SPAN_ARRAY), own.cast(SPAN_ARRAY)).alias("spans"))
 
 
-def doc_spans(spark, sf_dir, dw=None):
-    dw = dw if dw is not None else docs_with_words(spark, sf_dir)
-    bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    hits = find_phrases(dw.select("doc_id", "text"), bench).select("doc_id", "start", "end", F.lit(1.0).alias("score"))
-    return merge_span_rows(hits.unionByName(third_word_spans(dw)), "doc_id")
+def doc_spans(spark, sf_dir):
+    d = docs_with_spans(spark, sf_dir)
+    return d.select("doc_id", F.explode(merge_spans("spans")).alias("s")).select("doc_id", "s.start", "s.end", "s.score")
 
 
 THIRD_SQL = f"""
@@ -73,17 +78,16 @@ def annotated(spark, sf_dir):
     ``[]``."""
     dw = docs_with_words(spark, sf_dir)
     bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("phrase"))
-    hits = find_phrases(dw.select("doc_id", "text"), bench.withColumnRenamed("phrase", "text"))
-    items = hits.select("doc_id", "item_id").distinct().join(bench, "item_id").groupBy("doc_id").agg(
-        F.collect_list(F.struct("phrase", F.lit(1.0).alias("score"))).alias("bench_items"))
+    # the phrases found in a document are read off its text
+    hit = phrase_hits(dw, bench, phrase="phrase")
+    items = F.array_distinct(F.transform("hits", lambda h: F.col("text").substr(h["start"] + 1, h["end"] - h["start"])))
     w1, w3 = F.try_element_at("words", F.lit(1)), F.try_element_at("words", F.lit(3))
     own = F.array(
         F.to_json(F.struct(w3["word"].alias("phrase"), ((F.col("doc_id") % 10) / 10).alias("score"))),
         F.to_json(F.struct(w1["start"].alias("start"), w1["end"].alias("end"), F.lit(0.7).alias("score"))),
     )
-    j = dw.join(items, "doc_id", "left")
-    bench_json = F.transform(F.coalesce("bench_items", F.array().cast("array<struct<phrase:string,score:double>>")),
-                             lambda s: F.to_json(s))
+    j = hit.withColumn("bench_items", items)
+    bench_json = F.transform("bench_items", lambda p: F.to_json(F.struct(p.alias("phrase"), F.lit(1.0).alias("score"))))
     cell = F.concat(F.lit("["), F.array_join(F.concat(bench_json, own), ","), F.lit("]"))
     cell = (F.when(F.col("doc_id") % 5 == 0, F.lit(None).cast("string"))
             .when(F.col("doc_id") % 7 == 0, F.lit("[]")).otherwise(cell))
@@ -241,16 +245,16 @@ CHUNK_TOK_SQL = f"""
 """
 
 
-def tokens_frame(spark, sf_dir):
-    dw = docs_with_words(spark, sf_dir)
-    return dw.select("doc_id", "text", "words", TK.piece_tokens("words", PIECE).alias("tokens"))
+def token_frame(spark, sf_dir, **kw):
+    """Tokens of the documents in chunks (content tokens; see ``TK.token_rows``)."""
+    return TK.token_rows(table(spark, sf_dir, "documents"), "doc_id", tokenizer=pieces(PIECE),
+                         max_length=MAX_LENGTH, stride=STRIDE, **kw)
 
 
 @query("tokenize", f"SELECT * FROM ({TOKENS_SQL})")
 def q_tokenize(spark, sf_dir):
-    t = tokens_frame(spark, sf_dir)
-    return t.select("doc_id", F.posexplode("tokens").alias("tok_pos", "t")).select(
-        "doc_id", F.col("tok_pos").cast("int").alias("tok_pos"), "t.start", "t.end")
+    t = TK.token_rows(table(spark, sf_dir, "documents"), "doc_id", tokenizer=pieces(PIECE))
+    return t.select("doc_id", "tok_pos", "start", "end")
 
 
 @query("chunk_tokens", f"""
@@ -262,17 +266,13 @@ FROM ch LEFT JOIN c ON c.doc_id = ch.doc_id AND c.chunk_idx = ch.chunk_idx
 GROUP BY ch.doc_id, ch.chunk_idx
 """)
 def q_chunk_tokens(spark, sf_dir):
-    ct = TK.chunk_tokens(tokens_frame(spark, sf_dir), "doc_id", "tokens", MAX_LENGTH, STRIDE)
+    d = docs_with_words(spark, sf_dir).select("doc_id", TK.piece_tokens("words", PIECE).alias("tokens"))
+    ct = TK.chunk_tokens(d, "doc_id", "tokens", MAX_LENGTH, STRIDE)
     return ct.groupBy("doc_id", "chunk_idx").agg(
         F.count(F.lit(1)).alias("n_positions"), F.min("tok_pos").alias("first_token"),
         F.max("tok_pos").alias("last_token"))
 
 
-def _spans_array(spark, sf_dir, dw):
-    s = doc_spans(spark, sf_dir, dw)
-    return s.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "score")).alias("spans"))
-
-
 TOKSCORE_SQL = f"""
   SELECT c.doc_id, c.chunk_idx, c.tok_pos, c.start, c."end",
          least(1.0, greatest(0.0, coalesce(max(s.score), 0.0))) AS target
@@ -282,14 +282,10 @@ TOKSCORE_SQL = f"""
 """
 
 
-def chunk_token_scores(spark, sf_dir):
-    t = tokens_frame(spark, sf_dir)
-    sp = _spans_array(spark, sf_dir, t.select("doc_id", "text", "words"))
-    t = t.join(sp, "doc_id", "left")
-    ct = TK.chunk_tokens(t, "doc_id", "tokens", MAX_LENGTH, STRIDE, keep=["spans"])
-    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int,score:double>>"))
-    return ct.where(F.col("tok_pos").isNotNull()).select(
-        "doc_id", "chunk_idx", "tok_pos", "start", "end", token_span_score("start", "end", spans).alias("target"))
+def chunk_token_scores(spark, sf_dir, **kw):
+    """Tokens in chunks with ``target``, the score of the spans over them."""
+    return TK.token_rows(docs_with_spans(spark, sf_dir), "doc_id", tokenizer=pieces(PIECE), max_length=MAX_LENGTH,
+                         stride=STRIDE, spans={"target": "spans"}, **kw)
 
 
 @query("token_scores", f"""
@@ -333,15 +329,6 @@ WINDOWS_SQL = f"""
 """
 
 
-def text_windows(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n"))
-    last = F.ceil(F.col("n") / WIN).cast("int") - 1
-    k = F.explode(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))).alias("tok_idx")
-    return d.select("doc_id", "n", k).select(
-        "doc_id", F.col("tok_idx").cast("int").alias("tok_idx"), (F.col("tok_idx") * WIN).cast("int").alias("start"),
-        F.least(F.col("n"), F.col("tok_idx") * WIN + WIN).cast("int").alias("end"))
-
-
 ASSIGN_SQL = f"""
   SELECT t.doc_id, t.tok_idx, t.start, t."end",
     CASE WHEN greatest(w.start, t.start) < least(w."end", t."end") THEN w.word_idx
@@ -358,8 +345,8 @@ SELECT doc_id, count(*) AS n_tokens, count(word_idx) AS n_assigned,
 FROM ({ASSIGN_SQL}) GROUP BY doc_id
 """)
 def q_assign_words(spark, sf_dir):
-    words = word_rows(table(spark, sf_dir, "documents"), "doc_id")
-    a = TK.assign_words(text_windows(spark, sf_dir), words, "doc_id")
+    a = TK.token_rows(table(spark, sf_dir, "documents"), "doc_id", tokenizer=windows(WIN), words=True)
+    a = a.where(F.col("tok_pos").isNotNull())
     return a.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"), F.count("word_idx").alias("n_assigned"),
                                    F.coalesce(F.sum("word_idx"), F.lit(0)).cast("bigint").alias("word_idx_sum"))
 
@@ -387,11 +374,7 @@ WORDSCORE_SQL = f"""
 
 
 def word_score_frame(spark, sf_dir):
-    t = tokens_frame(spark, sf_dir)
-    ct = TK.chunk_tokens(t, "doc_id", "tokens", MAX_LENGTH, STRIDE).where(F.col("tok_pos").isNotNull())
-    ct = ct.withColumn("prob", _prob())
-    words = word_rows(table(spark, sf_dir, "documents"), "doc_id")
-    return TK.word_scores(ct.select("doc_id", "start", "end", "prob"), words, "doc_id")
+    return TK.word_maxima(token_frame(spark, sf_dir, words=True).withColumn("prob", _prob()), "doc_id")
 
 
 @query("word_scores", f"""
@@ -422,8 +405,8 @@ SELECT doc_id, CAST(rk AS INTEGER) AS rank, word_idx, word, round(score, 6) AS s
 WHERE rk <= 8
 """)
 def q_top_evidence(spark, sf_dir):
-    s = word_score_frame(spark, sf_dir)
-    top = TK.top_evidence_rows(s.select("doc_id", "word_idx", "word", "start", "end", "score"), "doc_id", 8)
+    top = TK.top_evidence_rows(word_score_frame(spark, sf_dir), "doc_id", 8)
+    top = TK.with_words(top, table(spark, sf_dir, "documents"), "doc_id")
     return top.select("doc_id", F.col("rank").cast("int").alias("rank"), "word_idx", "word",
                       F.round("score", 6).alias("score"))
 
@@ -436,8 +419,7 @@ ON x.doc_id = d.doc_id
 """)
 def q_soft_ratio(spark, sf_dir):
     # probabilities as whole percents: the mean is exact, then one division
-    t = tokens_frame(spark, sf_dir)
-    ct = TK.chunk_tokens(t, "doc_id", "tokens", MAX_LENGTH, STRIDE).where(F.col("tok_pos").isNotNull())
+    ct = token_frame(spark, sf_dir)
     pct = ((F.col("doc_id") * 13 + F.col("tok_pos") * 7 + F.col("chunk_idx") * 3) % 100).cast("double")
     out = TK.soft_ratio(ct.withColumn("prob", pct), table(spark, sf_dir, "documents"), "doc_id")
     return out.select("doc_id", (F.col("soft_ratio") / 100).alias("soft_ratio"))

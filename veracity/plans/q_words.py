@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veracity.operators.phrases import find_phrases
-from veracity.operators.spans import word_ratio_rows
-from veracity.operators.words import word_count, word_rows
+from veracity.operators.phrases import phrase_hits
+from veracity.operators.spans import marked_word_count
+from veracity.operators.words import word_count, word_spans
 from veracity.plans.registry import query, table
 from veracity.plans.sqlparts import BENCH_HITS, DOC_WORDS, LABEL_CLASS
 
@@ -21,30 +21,26 @@ def label_class(labels):
 
 
 def doc_word_ratios(spark, sf_dir):
-    """Per document ``(doc_id, n_words, n_marked, ratio)`` and the phrase hits.
+    """Per document ``(doc_id, n_words, n_marked, ratio, has_hit)``, row-local.
 
     Word counts of all documents are native (``regexp_extract_all``); word offsets and
     the overlap sweep are only computed for the documents that have a hit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    # hits are few and feed three branches: computed once (reliable checkpoint)
-    hits = find_phrases(docs, bench, "doc_id", "text", "item_id", "text").checkpoint(eager=True)
-    hit_docs = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
-    spans = hits.select("doc_id", "start", "end", F.lit(1.0).alias("score"))
-    marked = word_ratio_rows(hit_docs, word_rows(hit_docs, "doc_id"), spans, "doc_id").select("doc_id", "n_marked")
-    counts = docs.select("doc_id", word_count("text").cast("long").alias("n_words"))
-    per_doc = counts.join(marked, "doc_id", "left").select(
-        "doc_id", "n_words", F.coalesce("n_marked", F.lit(0)).cast("long").alias("n_marked"))
+    d = phrase_hits(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    hit = F.size("hits") > 0
+    d = d.withColumn("words", word_spans(F.when(hit, F.col("text"))))
+    spans = F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end"), F.lit(1.0).alias("score")))
+    per_doc = d.select("doc_id", word_count("text").cast("long").alias("n_words"),
+                       F.when(hit, marked_word_count("words", spans)).otherwise(0).cast("long").alias("n_marked"),
+                       F.when(hit, 1).alias("has_hit"))
     ratio = F.when(F.col("n_words") > 0, F.col("n_marked") / F.col("n_words")).otherwise(F.lit(0.0))
-    return per_doc.withColumn("ratio", ratio), hits
+    return per_doc.withColumn("ratio", ratio)
 
 
 def benchmark_word_ratio(spark, sf_dir):
     """Share of each document's words inside a benchmark passage, by label class."""
-    ratios, hits = doc_word_ratios(spark, sf_dir)
-    hit_docs = hits.select("doc_id").distinct().withColumn("has_hit", F.lit(1))
     classes = label_class(table(spark, sf_dir, "labels"))
-    per_doc = ratios.join(hit_docs, "doc_id", "left").join(classes, "doc_id", "left")
+    per_doc = doc_word_ratios(spark, sf_dir).join(classes, "doc_id", "left")
     return per_doc.groupBy(F.coalesce("label_class", F.lit("unlabelled")).alias("label_class")).agg(
         F.count("*").alias("n_docs"),
         F.count("has_hit").alias("n_docs_with_hits"),
