@@ -1,18 +1,6 @@
 from pyspark.ml.feature import HashingTF
 
 
-def test_hashing_index_matches_sql_hash(spark):
-    words = ["뉴스", "fake", "a", "😀", "longer-token_42"]
-    n = 1 << 16
-    df = spark.createDataFrame([([w],) for w in words], "t array<string>")
-    tf = HashingTF(inputCol="t", outputCol="v", numFeatures=n).transform(df)
-    got = [int(r["v"].indices[0]) for r in tf.collect()]
-    from veracity.operators.models import hashed_index
-    ours = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w string")
-            .select(hashed_index(n)("w")).collect()]
-    assert got == ours
-
-
 def test_stage1_evidence_ranks_words_without_weight(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression

@@ -129,7 +129,7 @@ def test_word_marks_in_both_forms(spark):
     from veracity.operators.words import word_rows, word_spans
 
     rng = random.Random(5)
-    rows = [(k, t, [(s, s + rng.randint(0, 9), rng.choice([0.1, 0.5, 0.9])) for s in (rng.randint(0, 30) for _ in range(4))])
+    rows = [(k, t, [(s, s + rng.randint(1, 9), rng.choice([0.1, 0.5, 0.9])) for s in (rng.randint(0, 30) for _ in range(4))])
             for k, t in enumerate(t for _, ts in batches(20, 4) for t in ts if t)]
     df = spark.createDataFrame(rows, "k long, text string, spans array<struct<start:int,end:int,score:double>>")
     long = df.select("k", F.explode("spans").alias("s")).select("k", "s.*")

@@ -8,7 +8,9 @@ inputs, targets and outputs are learned with distributed ``pyspark.ml`` estimato
 * M3 / M4 soft-label regressors: each row is used twice, as label 1 with weight y and
   as label 0 with weight 1−y — exactly binary cross-entropy with soft targets.
 * M2 token taggers: a token's features are its own hashed text and its neighbours'
-  (``lag`` / ``lead`` inside the chunk), one weighted logistic regression per target.
+  inside the chunk (``tokens.token_rows``), one weighted logistic regression per target.
+* M5–M7 score a table with evidence: words ranked by their share of the fitted margin
+  (stage 1, irony) or by the largest probability of their tokens (index models).
 * M8: any Python scorer applied per Arrow batch with ``mapInPandas``.
 """
 
@@ -21,11 +23,15 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import FeatureHasher, HashingTF, IDF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracity.functions.text import WS
+from veracity.operators import offsets as O
+from veracity.operators import tokens as TK
 from veracity.operators.metrics import class_weight
+from veracity.operators.words import word_rows
+from veracity.schema import DEFAULT_EVIDENCE_K, DEFAULT_INDEX_STRIDE, DEFAULT_MAX_LENGTH
 
 
 def text_pipeline(text: str = "text", features: str = "features", num_features: int = 1 << 18,
@@ -78,26 +84,21 @@ def score_soft(model: PipelineModel, df: DataFrame, out: str) -> DataFrame:
         "_tokens", "_tf", "features", "_raw", "_prob", "prediction")
 
 
-def token_features(tokens: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """M2 features: token text with its left and right neighbours inside the chunk."""
-    w = Window.partitionBy(key, "chunk_idx").orderBy("pos")
-    tok = F.substring(F.col(text), F.col("start") + 1, F.col("end") - F.col("start"))
-    t = tokens.withColumn("tok", tok)
-    return (t.withColumn("left", F.coalesce(F.lag("tok").over(w), F.lit("<s>")))
-            .withColumn("right", F.coalesce(F.lead("tok").over(w), F.lit("</s>"))))
-
-
 def fit_tagger(features: DataFrame, target: str, num_features: int = 1 << 18, reg: float = 0.01,
                max_iter: int = 50) -> PipelineModel:
-    """M2: one weighted token classifier for ``target`` (soft labels ≥ 0.5 are positive;
-    positives weighted by G7)."""
+    """M2: one weighted token classifier for the soft ``target`` of ``token_rows(..., features=True)``.
+
+    Each token counts as label 1 with weight y times G7's weight of positives (y ≥ 0.5), and as
+    label 0 with weight 1 − y; rows without a target are left out."""
     from veracity.operators.metrics import positive_weight
-    pos = F.col(target) >= 0.5
-    counts = features.agg(F.count_if(pos).alias("p"), F.count_if(~pos).alias("n")).first()
+    y = F.col(target).cast("double")
+    counts = features.agg(F.count_if(y >= 0.5).alias("p"), F.count_if(y < 0.5).alias("n")).first()
     pw = features.sparkSession.range(1).select(
         positive_weight(F.lit(counts["p"]), F.lit(counts["n"]))).first()[0]
-    data = features.select("tok", "left", "right", pos.cast("double").alias("label"),
-                           F.when(pos, F.lit(float(pw))).otherwise(F.lit(1.0)).alias("weight"))
+    sides = F.array(F.struct(F.lit(1.0).alias("label"), (y * F.lit(float(pw))).alias("weight")),
+                    F.struct(F.lit(0.0).alias("label"), (F.lit(1.0) - y).alias("weight")))
+    data = features.where(y.isNotNull()).select("tok", "left", "right", F.explode(sides).alias("s")).select(
+        "tok", "left", "right", "s.*").where("weight > 0")
     return Pipeline(stages=[
         FeatureHasher(inputCols=["tok", "left", "right"], outputCol="features", numFeatures=num_features),
         LogisticRegression(labelCol="label", weightCol="weight", regParam=reg, maxIter=max_iter,
@@ -119,72 +120,84 @@ def score_with(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema
     return df.mapInPandas(run, schema)
 
 
-def _murmur3_x86_32(data: bytes, seed: int = 42) -> int:
-    """Standard MurmurHash3 x86 32-bit (the term hash of Spark's feature hashers), signed."""
-    c1, c2, m = 0xCC9E2D51, 0x1B873593, 0xFFFFFFFF
-    h = seed & m
-    n4 = len(data) - len(data) % 4
-    for i in range(0, n4, 4):
-        k = int.from_bytes(data[i:i + 4], "little")
-        k = (k * c1) & m
-        k = ((k << 15) | (k >> 17)) & m
-        h ^= (k * c2) & m
-        h = ((h << 13) | (h >> 19)) & m
-        h = (h * 5 + 0xE6546B64) & m
-    k = 0
-    for j, b in enumerate(data[n4:]):
-        k ^= b << (8 * j)
-    if len(data) % 4:
-        k = (k * c1) & m
-        k = ((k << 15) | (k >> 17)) & m
-        h ^= (k * c2) & m
-    h ^= len(data)
-    h ^= h >> 16
-    h = (h * 0x85EBCA6B) & m
-    h ^= h >> 13
-    h = (h * 0xC2B2AE35) & m
-    h ^= h >> 16
-    return h - (1 << 32) if h >= 1 << 31 else h
-
-
-def hashed_index(num_features: int):
-    """Arrow UDF: the feature index ``HashingTF`` gives a term."""
-    @F.pandas_udf("int")
-    def idx(words: pd.Series) -> pd.Series:
-        return words.map(lambda w: _murmur3_x86_32(w.encode("utf-8")) % num_features)
-    return idx
-
-
-def stage1_evidence(model: PipelineModel, docs: DataFrame, key: str, text: str = "text", k: int = 8) -> DataFrame:
-    """M5 evidence: per document, the k words with the largest share of
-    |coefficient · tf · idf| (first occurrence offsets), as ``array<struct<word,start,end,score>>``.
-
-    The feature index of a word is the hasher's own (MurmurHash3 x86_32, seed 42,
-    modulo the feature count), computed for the distinct words of each document; the
-    weights are a table of at most ``numFeatures`` rows joined on the index.  Every word is
-    ranked; one without a weight (such as a word not seen in training) has score 0."""
-    from pyspark.ml.classification import LogisticRegressionModel
-    from pyspark.ml.feature import HashingTF, IDFModel
-
-    from veracity.operators.tokens import top_evidence
-    from veracity.operators.words import word_rows
+def word_evidence(model: PipelineModel, docs: DataFrame, key: str, text: str = "text", k: int = DEFAULT_EVIDENCE_K,
+                  out: str = "evidence") -> DataFrame:
+    """Evidence of a text model: per document, the k words with the largest share of
+    |tf · weight| (first occurrence offsets), as ``array<struct<word,start,end,score>>``.
 
+    A word's weight is what a document of that one word adds to the margin of the fitted
+    stages, so every word is ranked; one that training has not seen has score 0.  Documents without
+    words have no row."""
     stages = model.stages
     htf = next(s for s in stages if isinstance(s, HashingTF))
-    idf = next(s for s in stages if isinstance(s, IDFModel))
-    lr = next(s for s in stages if isinstance(s, LogisticRegressionModel))
-    n = htf.getNumFeatures()
-    coef, idf_v = lr.coefficients.toArray(), idf.idf.toArray()
-    nz = [(int(i), float(coef[i] * idf_v[i])) for i in range(n) if coef[i] != 0.0]
-    weights = docs.sparkSession.createDataFrame(nz, "_idx int, _w double")  # ≤ numFeatures rows
+    rest = stages[next(i for i, s in enumerate(stages) if s is htf):]
+    lr = rest[-1]
     words = word_rows(docs.select(key, text), key, text)
-    per_word = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"), F.min("start").alias("start"),
-                                              F.min("end").alias("end"), F.min("word_idx").alias("word_idx"))
-    per_word = per_word.withColumn("_idx", hashed_index(n)("word"))
-    contrib = per_word.join(weights, "_idx", "left").withColumn(
-        "_c", F.abs(F.col("tf") * F.coalesce("_w", F.lit(0.0))))
-    tot = contrib.groupBy(key).agg(F.sum("_c").alias("_t"))
-    scored = contrib.join(tot, key).select(key, "word_idx", "word", "start", "end",
-                                           F.when(F.col("_t") > 0, F.col("_c") / F.col("_t")).otherwise(0.0)
-                                           .alias("score"))
-    return top_evidence(scored, key, k).withColumnRenamed("evidence", "stage1_evidence")
+    rows = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"), F.min("start").alias("start"),
+                                          F.min("end").alias("end"), F.min("word_idx").alias("word_idx"))
+    rows = rows.withColumn(htf.getInputCol(), F.array("word"))
+    for stage in rest:
+        rows = stage.transform(rows)
+    weight = vector_to_array(F.col(lr.getRawPredictionCol()))[1] - F.lit(float(lr.intercept))
+    whole = Window.partitionBy(key)
+    rows = rows.select(key, "word_idx", "word", "start", "end", F.abs(F.col("tf") * weight).alias("_c"))
+    rows = rows.withColumn("_t", F.sum("_c").over(whole)).withColumn(
+        "score", F.when(F.col("_t") > 0, F.col("_c") / F.col("_t")).otherwise(0.0)).drop("_c", "_t")
+    return TK.top_evidence(rows, key, k).withColumnRenamed("evidence", out)
+
+
+def stage1_evidence(model: PipelineModel, docs: DataFrame, key: str, text: str = "text",
+                    k: int = DEFAULT_EVIDENCE_K) -> DataFrame:
+    """M5 evidence (see ``word_evidence``)."""
+    return word_evidence(model, docs, key, text, k, "stage1_evidence")
+
+
+def score_stage1(docs: DataFrame, models: dict[str, PipelineModel], key: str, temperature: float = 1.0,
+                 text: str = "text", k: int = 0) -> DataFrame:
+    """M5: ``(key, logit, suspicious_probability, predicted_total_attention[, stage1_evidence])``."""
+    out = score_logit(models["stage1"], docs.select(key, text), temperature)
+    if "total_attention" in models:
+        out = score_soft(models["total_attention"], out, "predicted_total_attention")
+    else:
+        out = out.withColumn("predicted_total_attention", F.lit(None).cast("double"))
+    out = out.select(key, "logit", "suspicious_probability", "predicted_total_attention")
+    return out.join(stage1_evidence(models["stage1"], docs, key, text, k), key, "left") if k else out
+
+
+def score_index(docs: DataFrame, models: dict[str, PipelineModel], thresholds: dict[str, float], key: str,
+                text: str = "text", tokenizer: O.Tokenizer | None = None, max_length: int = DEFAULT_MAX_LENGTH,
+                stride: int = DEFAULT_INDEX_STRIDE, k: int = 0) -> DataFrame:
+    """M6: ``(key, <name>_index[, <name>_evidence])`` for each tagger in ``models``.
+
+    Tokens carry their word from the pass that makes them; a word's score is the maximum over its tokens
+    and chunks (A11), the index the share of words from the model's threshold on (A12), the
+    evidence the k best words (A13).  Documents without words have index 0.0 and no evidence.
+    ``key`` must be unique."""
+    rows = TK.token_rows(docs, key, text, tokenizer, max_length, stride, words=True, features=True)
+    for name, model in models.items():
+        rows = score_tagger(model, rows, f"_{name}")
+    p = {n: F.when(F.col("tok_pos").isNotNull(), F.col(f"_{n}")).otherwise(F.lit(0.0)) for n in models}
+    words = rows.where(F.col("word_idx").isNotNull()).groupBy(key, "word_idx").agg(
+        F.max("word_start").alias("start"), F.max("word_end").alias("end"), *(F.max(c).alias(n) for n, c in p.items()))
+    aggs = [F.avg((F.col(n) >= F.lit(float(thresholds[n]))).cast("double")).alias(f"{n}_index") for n in models]
+    if k:
+        for n in models:
+            best = Window.partitionBy(key).orderBy(F.desc(n), F.asc("word_idx"))
+            words = words.withColumn(f"_r_{n}", F.row_number().over(best))
+            aggs.append(F.array_sort(F.collect_list(F.when(F.col(f"_r_{n}") <= k, F.struct(
+                F.col(f"_r_{n}").alias("rank"), "start", "end", F.col(n).alias("score"))))).alias(f"_e_{n}"))
+    out = docs.select(key, text).join(words.groupBy(key).agg(*aggs), key, "left")
+
+    def evidence(n: str) -> Column:
+        return F.transform(F.col(f"_e_{n}"), lambda e: F.struct(
+            F.substring(F.col(text), e["start"] + 1, e["end"] - e["start"]).alias("word"), e["start"].alias("start"),
+            e["end"].alias("end"), e["score"].alias("score"))).alias(f"{n}_evidence")
+
+    return out.select(key, *(F.coalesce(f"{n}_index", F.lit(0.0)).alias(f"{n}_index") for n in models),
+                      *(evidence(n) for n in models if k))
+
+
+def score_irony(docs: DataFrame, model: PipelineModel, key: str, text: str = "text", k: int = 0) -> DataFrame:
+    """M7: ``(key, irony_index[, irony_evidence])``."""
+    out = score_soft(model, docs.select(key, text), "irony_index").select(key, "irony_index")
+    return out.join(word_evidence(model, docs, key, text, k, "irony_evidence"), key, "left") if k else out

@@ -29,6 +29,7 @@ from veracity.operators import offsets as O
 from veracity.schema import DEFAULT_EVIDENCE_K, SPECIAL_TOKENS_PER_CHUNK
 
 TOKEN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+SPANS = "array<struct<start:int,end:int,score:double>>"
 #: Neighbours of the first and last token of a chunk.
 FIRST, LAST = "<s>", "</s>"
 
@@ -133,7 +134,7 @@ def token_rows(df: DataFrame, key: str, text: str = "text", tokenizer: O.Tokeniz
     keep = keep or []
     tokenizer = tokenizer or O.pieces()
     window = None if max_length is None else _window(max_length, stride)
-    src = df.select(key, *keep, F.col(text).cast("string").alias("_text"), *(F.col(c).alias(f"_s{i}") for i, c in enumerate(spans.values())))
+    src = df.select(key, *keep, F.col(text).cast("string").alias("_text"), *(F.col(c).cast(SPANS).alias(f"_s{i}") for i, c in enumerate(spans.values())))
     rest = [key, *keep]
     ints = ["chunk_idx", "pos", "tok_pos", "start", "end"] + (["word_idx", "word_start", "word_end"] if words else [])
     texts_out = ["tok", "left", "right"] if features else []
