@@ -257,3 +257,33 @@ def test_stream_dedup_of_an_empty_table(spark):
     path = folder(spark)
     spark.createDataFrame([], SCHEMA).write.parquet(path)
     assert exact_dedup.dedup(spark, path).count() == 0
+
+
+# ----------------------------------------------------------------------------- 3
+
+
+def test_capitals_of_long_words(spark):
+    import time
+
+    from veracity.llm import quality
+
+    words = ["AB", "A", "AbC", "A1B", "ÄÖ", "日本", "A\u0085B", "A B", "x", "1A2", "ABc"]
+    rows = [(i, w, "w", "l") for i, w in enumerate(words)] + [(100, "A" * 1_000_000 + "a", "", ""), (101, "A" * 1_000_000, "", ""),
+                                                             (102, "1" * 1_000_000 + "A", "", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _w string, _l string")
+    began = time.time()
+    got = quality.ledger(df).collect()
+    assert time.time() - began < 30
+    want = [int(sum(c.isupper() for c in t) >= 2 and not any(c.islower() for c in t)) for _, t, *_ in rows]
+    assert [r["n_capitals"] for r in sorted(got, key=lambda r: r["doc_id"])] == want
+    assert {(r["doc_id"], r["_w"], r["_l"]) for r in got} == {(r[0], r[2], r[3]) for r in rows}
+
+
+def test_quality_stage_keeps_columns_with_clashing_names(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"word{i}" for i in range(80))
+    df = spark.createDataFrame([(1, text, -7, "w"), (2, "short", -7, "w"), (1, text, -7, "w"), (3, None, 1, None)],
+                               "doc_id long, text string, n_words int, _w string")
+    got = corpus_pipeline.quality_rules(spark, df, SF001)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(1, text, -7, "w")] * 2

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from veracity.llm.common import WORD, let, words
 
 SYMBOLS = r"[#*$%&|<>]"
-#: A word in capitals: two upper-case letters or more and no lower-case letter.
-CAPITALS = r"^\P{Ll}*\p{Lu}\P{Ll}*\p{Lu}\P{Ll}*$"
+#: A word in capitals has two upper-case letters or more and no lower-case letter.  Two patterns that each
+#: pass a word once: one pattern for both would try every pair of places in a long word.
+LOWER, TWO_UPPER = r"\p{Ll}", r"(?s)\p{Lu}.*\p{Lu}"
 
 #: Rule name to its failing condition; the position of a rule is its bit.  New rules go to the end.
 RULES: dict[str, str] = {
@@ -69,17 +70,18 @@ def ledger(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(WORD)))
-    d = docs.withColumns({"_w": words(F.col("text")), "_l": lines})
+    w, l = (next(n for n in (f"_{x}{i or ''}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for x in "wl")
+    d = docs.withColumns({w: words(F.col("text")), l: lines})
     d = d.withColumns({
-        "n_words": F.size("_w").cast("long"),
-        "word_chars": F.aggregate("_w", F.lit(0).cast("long"), lambda acc, x: acc + F.length(x)),
+        "n_words": F.size(w).cast("long"),
+        "word_chars": F.aggregate(w, F.lit(0).cast("long"), lambda acc, x: acc + F.length(x)),
         "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
-        "n_lines": F.size("_l").cast("long"),
-        "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
-        "n_repeat_words": repeat_words(F.col("_w")),
-        "n_capitals": F.size(F.filter("_w", lambda x: F.rlike(x, F.lit(CAPITALS)))).cast("long"),
-        "n_letter_words": F.size(F.filter("_w", lambda x: F.rlike(x, F.lit(r"\p{L}")))).cast("long"),
-    }).drop("_w", "_l")
+        "n_lines": F.size(l).cast("long"),
+        "n_dup_lines": (F.size(l) - F.size(F.array_distinct(l))).cast("long"),
+        "n_repeat_words": repeat_words(F.col(w)),
+        "n_capitals": F.size(F.filter(w, lambda x: F.rlike(x, F.lit(TWO_UPPER)) & ~F.rlike(x, F.lit(LOWER)))).cast("long"),
+        "n_letter_words": F.size(F.filter(w, lambda x: F.rlike(x, F.lit(r"\p{L}")))).cast("long"),
+    }).drop(w, l)
     bits = [F.when(F.expr(rule), F.lit(BITS[name])).otherwise(F.lit(0)) for name, rule in RULES.items()]
     failed = bits[0]
     for bit in bits[1:]:
