@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracity.functions.rules import stage2_target, suspicious_target
 from veracity.functions.text import is_blank, normalize_label, py_strip, safe_float
@@ -134,19 +138,39 @@ def negative_policy_violations(c, policy: str = "missing") -> dict[str, Column]:
 
 
 def validate(df: DataFrame, rules: dict[str, Column], key: str, sample: int = 10) -> DataFrame:
-    """Q1: ``(rule, bad_rows, sample)`` for every rule in one aggregation pass; the
-    sample is the ``sample`` smallest keys of the failing rows (bounded top-k per
-    rule, never a full list)."""
-    counts = df.agg(*[F.count_if(cond).alias(f"r{i}") for i, cond in enumerate(rules.values())])
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("bad_rows"))
-        for i, name in enumerate(rules)])).alias("s")).select("s.*")
-    samples = reduce(DataFrame.unionByName, [
-        df.where(cond).select(F.lit(name).alias("rule"), F.col(key).alias("k")).orderBy("k").limit(sample)
-        for name, cond in rules.items()])
-    joined = samples.groupBy("rule").agg(F.array_sort(F.collect_list("k")).alias("ks"))
-    return stacked.join(joined, "rule", "left").select(
-        "rule", "bad_rows", F.coalesce(F.array_join(F.col("ks").cast("array<string>"), ","), F.lit("")).alias("sample"))
+    """Q1: ``(rule, bad_rows, sample)`` for every rule in one pass over the table; the
+    sample is the ``sample`` smallest keys of the failing rows.
+
+    Only failing rows leave the scan, once per rule they break; a task keeps a count and the smallest
+    keys per rule, so what is shuffled does not depend on their number."""
+    names = list(rules)
+    broken = F.filter(F.array(*[F.when(cond, F.lit(i)) for i, cond in enumerate(rules.values())]), lambda i: i.isNotNull())
+    failing = df.select(F.col(key).alias("k"), F.explode(broken).alias("r"))
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, kept = [0] * len(names), [None] * len(names)
+        for b in batches:
+            of = b.column("r")
+            for i in pc.unique(of).to_pylist():
+                keys = b.column("k").filter(pc.equal(of, i))
+                counts[i] += len(keys)
+                keys = keys.drop_null() if kept[i] is None else pa.concat_arrays([kept[i], keys.drop_null()])
+                kept[i] = keys.take(pc.sort_indices(keys)[:sample])
+        rows = [i for i, n in enumerate(counts) if n]
+        if rows:
+            lists = [kept[i].to_pylist() for i in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int32()), pa.array([counts[i] for i in rows], pa.int64()), pa.array(lists, pa.list_(kept[rows[0]].type))],
+                ["r", "n", "ks"])
+
+    schema = T.StructType([T.StructField("r", T.IntegerType()), T.StructField("n", T.LongType()),
+                           T.StructField("ks", T.ArrayType(failing.schema["k"].dataType))])
+    found = failing.mapInArrow(smallest, schema).groupBy("r").agg(
+        F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("ks"))), 1, sample).alias("ks"))
+    every = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(n) for n in names])).alias("r", "rule"))
+    return every.join(found, "r", "left").select(
+        "rule", F.coalesce("n", F.lit(0)).cast("long").alias("bad_rows"),
+        F.coalesce(F.array_join(F.col("ks").cast("array<string>"), ","), F.lit("")).alias("sample"))
 
 
 def check_range(df: DataFrame, cols: list[str], key: str, lo: float = 0.0, hi: float = 1.0) -> DataFrame:

@@ -1,39 +1,129 @@
 """Masked softmax pooling (A15, A16) and attention evidence.
 
-Pooling is a weighted vector sum per group: the softmax weights come from one
-aggregate per group (max, then the sum of exponentials), the vector sum from
-``posexplode`` + ``groupBy(group, dim)`` with partial aggregation.  No group is
+Pooling is a mergeable aggregate: the largest score m of a group, Σ exp(s - m) and the weighted
+vector sum.  Every Arrow batch is reduced to one such row per group before the one shuffle, and
+merging two of them scales the smaller m's sums down; no vector is exploded and no group is
 collected into one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracity.operators import tokens as TK
 
 
 def softmax_weights(df: DataFrame, group: list[str], score: str, mask: str | None = None) -> DataFrame:
     """Add ``weight`` = softmax of ``score`` within ``group`` over the rows where
-    ``mask`` is true; a group without any masked-in row uses all its rows."""
-    m = F.col(mask) if mask is not None else F.lit(True)
-    base = df.withColumn("_in", m)
-    stats = base.groupBy(*group).agg(F.max(F.col("_in").cast("int")).alias("_any"))
-    b = base.join(stats, group).withColumn("_use", F.col("_in") | (F.col("_any") == 0))
-    mx = b.where("_use").groupBy(*group).agg(F.max(score).alias("_mx"))
-    b = b.join(mx, group).withColumn("_e", F.when(F.col("_use"), F.exp(F.col(score) - F.col("_mx"))).otherwise(0.0))
-    tot = b.groupBy(*group).agg(F.sum("_e").alias("_z"))
-    return b.join(tot, group).withColumn("weight", F.col("_e") / F.col("_z")).drop(
-        "_in", "_any", "_use", "_mx", "_e", "_z")
+    ``mask`` is true; a group without any masked-in row uses all its rows.
+
+    One shuffle by the group, whose rows meet in one window: for groups that are bounded, such as the tokens
+    of a chunk.  ``softmax_pool`` has no such bound."""
+    whole = Window.partitionBy(*group)
+    b = df.withColumn("_in", F.coalesce(F.col(mask), F.lit(False)) if mask is not None else F.lit(True))
+    b = b.withColumn("_use", F.col("_in") | ~F.max("_in").over(whole))
+    b = b.withColumn("_mx", F.max(F.when(F.col("_use"), F.col(score))).over(whole))
+    b = b.withColumn("_e", F.when(F.col("_use"), F.exp(F.col(score) - F.col("_mx"))).otherwise(0.0))
+    return b.withColumn("weight", F.col("_e") / F.sum("_e").over(whole)).drop("_in", "_use", "_mx", "_e")
+
+
+def _codes(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """A number for each row, equal where all columns are (NULL equals NULL)."""
+    out = np.zeros(batch.num_rows, np.int64)
+    for c in columns:
+        coded = batch.column(c).dictionary_encode(null_encoding="encode")
+        out = np.unique(out * max(1, len(coded.dictionary)) + coded.indices.to_numpy(), return_inverse=True)[1]
+    return out
+
+
+def _vectors(lists: pa.Array) -> np.ndarray:
+    """The lists as rows of a matrix, shorter ones (NULL: all) filled up with zeros."""
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    d = int(n.max(initial=0))
+    out = np.zeros((len(n), d))
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    out[row, at] = pc.fill_null(pc.list_flatten(lists), 0.0).to_numpy(zero_copy_only=False)
+    return out
+
+
+def _merged(codes: np.ndarray, m: np.ndarray, z: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First row, largest m, and sums on that scale, of each run of equal codes."""
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    top = np.maximum.reduceat(m, first)
+    scale = np.exp(m - np.repeat(top, np.diff(np.append(first, len(m)))))
+    return first, top, np.add.reduceat(z * scale, first), np.add.reduceat(v * scale[:, None], first, axis=0)
+
+
+def _rows(v: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(v.ravel(), pa.float64()))
 
 
 def softmax_pool(df: DataFrame, group: list[str], score: str, vec: str, mask: str | None = None) -> DataFrame:
-    """``(group..., dim, value)`` = Σ weight · vec[dim] per group."""
-    w = softmax_weights(df, group, score, mask)
-    long = w.select(*group, "weight", F.posexplode(vec).alias("dim", "x"))
-    return long.groupBy(*group, F.col("dim").cast("int").alias("dim")).agg(
-        F.sum(F.col("weight") * F.col("x").cast("double")).alias("value"))
+    """``(group..., dim, value)`` = Σ weight · vec[dim] per group.
+
+    Rows without a score take no part; a shorter or NULL vector has zeros where it ends.  A group without
+    any masked-in row uses all its rows."""
+    inside = F.coalesce(F.col(mask).cast("boolean"), F.lit(False)) if mask is not None else F.lit(True)
+    src = df.select(*group, inside.alias("_in"), F.col(score).cast("double").alias("_m"),
+                    F.col(vec).cast("array<double>").alias("_v")).where(F.col("_m").isNotNull())
+    keys = [*group, "_in"]
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            codes = _codes(b, keys)
+            order = np.argsort(codes, kind="stable")
+            m = b.column("_m").to_numpy(zero_copy_only=False)[order]
+            first, top, z, v = _merged(codes[order], m, np.ones(len(m)), _vectors(b.column("_v"))[order])
+            at = pa.array(order[first])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in keys), pa.array(top), pa.array(z), _rows(v)],
+                                             [*keys, "_m", "_z", "_v"])
+
+    def finish(table: pa.RecordBatch) -> pa.RecordBatch:
+        """The whole groups of a sorted batch: masked-in rows come first."""
+        own, side = _codes(table, group), table.column("_in").to_numpy(zero_copy_only=False)
+        change = np.append(True, own[1:] != own[:-1])
+        any_in = side[np.flatnonzero(change)][np.cumsum(change) - 1]
+        keep = np.flatnonzero(side | ~any_in)
+        m, z = (table.column(c).to_numpy(zero_copy_only=False)[keep] for c in ("_m", "_z"))
+        first, _, total, v = _merged(own[keep], m, z, _vectors(table.column("_v"))[keep])
+        d = v.shape[1]
+        at = pa.array(np.repeat(keep[first], d))
+        return pa.RecordBatch.from_arrays(
+            [*(table.column(c).take(at) for c in group), pa.array(np.tile(np.arange(d), len(first)), pa.int32()),
+             pa.array((v / total[:, None]).ravel())], [*group, "dim", "value"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            held = t if held is None else pa.concat_tables([held, t])
+            whole = held.combine_chunks().to_batches()
+            if not whole:
+                continue
+            own = _codes(whole[0], group)
+            last = int(np.flatnonzero(own != own[-1]).max(initial=-1)) + 1  # the last group may go on
+            if last:
+                yield finish(whole[0].slice(0, last))
+                held = pa.Table.from_batches([whole[0].slice(last)])
+        if held is not None and held.num_rows:
+            yield finish(held.combine_chunks().to_batches()[0])
+
+    partial = T.StructType([*(src.schema[c] for c in keys), T.StructField("_m", T.DoubleType()), T.StructField("_z", T.DoubleType()),
+                            T.StructField("_v", T.ArrayType(T.DoubleType()))])
+    out = T.StructType([*(src.schema[c] for c in group), T.StructField("dim", T.IntegerType()), T.StructField("value", T.DoubleType())])
+    rows = src.mapInArrow(reduce, partial)
+    return rows.repartition(*group).sortWithinPartitions(*group, F.desc("_in")).mapInArrow(merge, out)
 
 
 def attention_evidence(token_rows: DataFrame, chunks: DataFrame, docs: DataFrame, key: str,

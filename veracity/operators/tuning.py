@@ -48,6 +48,18 @@ def _c(c) -> Column:
 # ----------------------------------------------------------------------------- quantiles
 
 
+def approximate_quantiles(df: DataFrame, col, qs: list[float], accuracy: int = 10_000) -> DataFrame:
+    """G17, opt-in: ``(q, value)`` from one mergeable sketch, in one aggregate and without ranking all values.
+
+    The value is an element whose rank is off by at most 1 / ``accuracy`` of the finite values (and
+    not interpolated); NULL for every q when there is none."""
+    v = _c(col).cast("double")
+    finite = F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+    sketch = df.agg(F.percentile_approx(finite, [float(q) for q in qs], accuracy).alias("v"))
+    pairs = F.transform(F.array(*[F.lit(float(q)) for q in qs]), lambda q, i: F.struct(q.alias("q"), F.get("v", i).alias("value")))
+    return sketch.select(F.explode(pairs).alias("p")).select("p.q", "p.value")
+
+
 def quantile_values(df: DataFrame, col, qs: list[float]) -> list[float | None]:
     """Exact linear-interpolation quantiles (numpy's ``linear`` method) of the
     finite values of ``col``; ``None`` for every q when there is no value.

@@ -219,6 +219,21 @@ def q_mae_rmse(spark, sf_dir):
     return out.select(_r("mae", "mae"), _r("rmse", "rmse"), "n")
 
 
+@query("quantiles_sketch", f"""
+SELECT round(CAST(unnest({[*C.DECILES, 0.75]!r}) AS DOUBLE), 6) AS q, TRUE AS within
+""")
+def q_quantiles_sketch(spark, sf_dir):
+    """G17 by sketch: the share of values below and up to each result encloses q, but for the stated error."""
+    s = scored(spark, sf_dir, labelled=False).select("emotion_index")
+    got = C.approximate_quantiles(s, "emotion_index", [*C.DECILES, 0.75], 1000)
+    n = s.agg(F.count("emotion_index").alias("n"))
+    below = s.groupBy("emotion_index").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(got), F.col("emotion_index") <= F.col("value"))
+    rank = below.groupBy("q").agg(F.sum("c").alias("upto"), F.sum(F.when(F.col("emotion_index") < F.col("value"), F.col("c")).otherwise(0)).alias("under"))
+    from veracity.operators.prefix import attach
+    r = attach(rank, n)
+    return r.select(_r("q", "q"), ((F.col("under") <= (F.col("q") + 0.001) * F.col("n") + 1) & (F.col("upto") >= (F.col("q") - 0.001) * F.col("n") - 1)).alias("within"))
+
+
 @query("quantiles", f"""
 SELECT unnest(CAST({[*C.DECILES, 0.75]!r} AS DOUBLE[])) AS q,
        unnest(list_transform(quantile_cont(emotion_index, {[*C.DECILES, 0.75]!r}), lambda v: round(v, 6))) AS value
