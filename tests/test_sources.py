@@ -61,3 +61,18 @@ def test_ndjson_lines(spark):
         f.write(json.dumps({"넘버링": 2, "내용": "나", "라벨": "가짜"}, ensure_ascii=False) + "\n")
     rows = sorted((r["id"], r["text"], r["emotion_spans"]) for r in A.read_articles_json(spark, p, lines=True).collect())
     assert rows == [("1", "가", '["가"]'), ("2", "나", None)]
+
+
+def test_a_rewritten_table_is_seen_whole(spark, tmp_path):
+    import pytest
+
+    from veracity.sources import articles as A
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        A.read_current(spark, path)
+    first = A.rewrite(spark.range(3).toDF("x"), path)
+    A.rewrite(A.read_current(spark, path).where("x > 0"), path)
+    assert sorted(r.x for r in A.read_current(spark, path).collect()) == [1, 2]
+    # a version without its entry, as a failed rewrite leaves it, is not seen
+    spark.range(9).toDF("x").write.parquet(f"{path}.versions/v00000003-lost")
+    assert A.read_current(spark, path).count() == 2 and spark.read.parquet(first).count() == 3

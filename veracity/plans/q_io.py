@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veracity.functions.text import safe_float
+from veracity.functions.text import display_label, normalize_label, safe_float
 from veracity.operators import clean as K
 from veracity.operators.annotations import parse_spans
 from veracity.plans.q_clean import LABELS_SQL, raw_articles, strip_sql
 from veracity.plans.q_splits import PROGRESS_SQL, progress
 from veracity.plans.q_tokens import THIRD_SQL
 from veracity.plans.registry import query, table
+from veracity.schema import LABEL_DISPLAY
 from veracity.sources import articles as A
 from veracity.sources import progress as PG
 
@@ -78,12 +79,16 @@ def q_progress_roundtrip(spark, sf_dir):
                                      F.round(F.avg("loss"), 6).alias("mean_loss"))
 
 
-@query("encoding_detect")
+@query("encoding_detect", """
+SELECT * FROM (VALUES ('utf8', 'utf-8', TRUE), ('bom', 'utf-8', TRUE), ('cp949', 'cp949', TRUE)) t(written, encoding, every_file)
+""")
 def q_encoding_detect(spark, sf_dir):
-    """All articles written as UTF-8, UTF-8 with BOM and CP949 files;
-    rows-only (the expected encodings are the ones written)."""
+    """All articles written as UTF-8, UTF-8 with BOM and CP949 files; the expected
+    encodings are the ones written, in every file."""
+    # every line has a Korean label, so its bytes differ between the encodings
+    label = F.coalesce(display_label(normalize_label("label")), F.lit(LABEL_DISPLAY["real"]))
     raw = raw_articles(spark, sf_dir).select(
-        F.concat_ws("|", "id", F.regexp_replace("text", "[\r\n|]", " "), "label").alias("value"))
+        F.concat_ws("|", "id", F.regexp_replace("text", "[\r\n|]", " "), label).alias("value"))
     base = A.scratch_path(spark, "encodings")
     A._legacy_charsets(spark)
     raw.write.mode("overwrite").text(f"{base}/utf8")
@@ -92,20 +97,26 @@ def q_encoding_detect(spark, sf_dir):
     kor.write.mode("overwrite").option("encoding", "x-windows-949").text(f"{base}/cp949")
     det = A.detect_encoding(spark, [f"{base}/utf8", f"{base}/bom", f"{base}/cp949"])
     kind = F.regexp_extract("path", r"/(utf8|bom|cp949)/", 1)
-    return det.groupBy(kind.alias("written"), "encoding").agg(F.count(F.lit(1)).alias("files"))
+    det = det.select(kind.alias("written"), "encoding")
+    files = det.groupBy("written").agg(F.count(F.lit(1)).alias("files"))
+    return det.groupBy("written", "encoding").agg(F.count(F.lit(1)).alias("n")).join(files, "written").select(
+        "written", "encoding", (F.col("n") == F.col("files")).alias("every_file"))
 
 
 @query("string_rescan", """
-SELECT c_mktsegment, count(*) FILTER (WHERE c_acctbal < 0) AS negatives, count(*) AS n FROM customer GROUP BY 1
+SELECT c_mktsegment, count(*) FILTER (WHERE c_acctbal < 0) AS negatives, count(*) AS n, 0 AS negatives_after,
+       round(sum(greatest(c_acctbal, 0)), 2) AS sum_after FROM customer GROUP BY 1
 """)
 def q_string_rescan(spark, sf_dir):
     """Write as CSV, rescan all-string (blanks kept), audit the
-    negative scores, write the repaired table as a new version."""
+    negative scores, write the repaired table as a new version and read that back."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", F.col("c_acctbal").cast("string"))
     path = A.scratch_path(spark, "customer-csv")
     A.write_csv(c, path)
     s = A.read_articles_csv(spark, path, delimiter=",", encoding="utf-8", keep_blank=True)
     s = s.withColumn("v", safe_float(F.when(F.col("c_acctbal") != "", F.col("c_acctbal"))))
     A.rewrite(s.withColumn("c_acctbal", K.negative_policy("v", "zero")).drop("v"), path)
-    return s.groupBy("c_mktsegment").agg(F.count_if(F.col("v") < 0).alias("negatives"),
-                                         F.count(F.lit(1)).alias("n"))
+    after = A.read_current(spark, path).groupBy(F.col("c_mktsegment").alias("_m")).agg(
+        F.count_if(F.col("c_acctbal") < 0).cast("int").alias("negatives_after"), F.round(F.sum("c_acctbal"), 2).alias("sum_after"))
+    found = s.groupBy("c_mktsegment").agg(F.count_if(F.col("v") < 0).alias("negatives"), F.count(F.lit(1)).alias("n"))
+    return found.join(after, F.col("c_mktsegment") == F.col("_m")).drop("_m")

@@ -1,9 +1,9 @@
 """Driver queries for the ``pyspark.ml`` scorers and the training job (phase 10–11).
 
-Fitted models are not expressible in SQL.  ``score_stage1``, ``score_index``, ``score_irony``,
-``run_training`` and ``detect_bundle`` give, for every row of the real output, what SQL can tell of it
-(number of evidence words, rows that pass, support of the report) and whether the rest holds;
-``score_with`` has a closed formula; the others are rows-only."""
+Fitted models are not expressible in SQL.  These queries give, for every row of the real output,
+what SQL can tell of it (rows, number of evidence words, support of the report) and whether the
+rest holds (ranges, offsets of evidence, the condition a fit meets at its optimum, equal results of
+two ways); ``score_with`` has a closed formula."""
 
 from __future__ import annotations
 
@@ -14,7 +14,9 @@ from veracity.functions.text import py_strip
 from veracity.operators import models as MD
 from veracity.operators import splits as S
 from veracity.operators import tuning as C
+from veracity.operators.metrics import bce_with_logits, class_weight, positive_weight
 from veracity.operators.offsets import pieces
+from veracity.operators.prefix import attach
 from veracity.plans import jobs as J
 from veracity.plans.q_splits import GROUP_SPLIT_SQL, LABELLED_SQL
 from veracity.plans.q_tokens import MAX_LENGTH, PIECE, STRIDE, annotated, chunk_token_scores
@@ -47,13 +49,30 @@ def split(spark, sf_dir):
     return S.group_split(articles(spark, sf_dir), "group_id", "row_key")
 
 
-@query("fit_suspicion")
+SPLIT_SQL = GROUP_SPLIT_SQL.replace("FROM documents)", f"FROM ({LABELLED_SQL}) z)").replace(
+    "FROM documents d", f"FROM ({LABELLED_SQL}) d")
+HELD_OUT_SQL = f"SELECT doc_id AS row_key FROM ({SPLIT_SQL}) WHERE split <> 'train'"
+
+
+def balanced(scored, y, p, weight=None):
+    """One row ``balanced``: the weighted means of prediction and target agree, as they do where the loss is
+    least in the intercept (within 0.02, for the steps that are left)."""
+    w = F.lit(1.0) if weight is None else weight
+    return scored.agg((F.abs(F.sum(w * (F.col(p) - F.col(y))) / F.sum(w)) < 0.02).alias("balanced"))
+
+
+@query("fit_suspicion", f"SELECT doc_id AS row_key, split, TRUE AS sigmoid_ok, TRUE AS balanced FROM ({SPLIT_SQL}) WHERE split <> 'train'")
 def q_fit_suspicion(spark, sf_dir):
-    s = split(spark, sf_dir).cache()
-    model = MD.fit_suspicion(s.where(F.col("split") == "train"), num_features=1 << 16, max_iter=30)
+    """M1: scores of the held-out rows; ``balanced`` on the rows it was fitted on."""
+    s = split(spark, sf_dir)
+    train = s.where(F.col("split") == "train")
+    model = MD.fit_suspicion(train, num_features=1 << 16, max_iter=30)
     out = MD.score_logit(model, s.where(F.col("split") != "train"))
-    return out.select("row_key", "split", F.round("logit", 6).alias("logit"),
-                      F.round("suspicious_probability", 6).alias("suspicious_probability"))
+    weight = class_weight(train, "suspicious_target").first()["class_weight"]
+    own = balanced(MD.score_logit(model, train), "suspicious_target", "suspicious_probability",
+                   F.when(F.col("suspicious_target") == 1, F.lit(float(weight))).otherwise(1.0))
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("logit")))
+    return attach(out.select("row_key", "split", (F.abs(p - F.col("suspicious_probability")) < 1e-9).alias("sigmoid_ok")), own)
 
 
 def training_articles(spark, sf_dir):
@@ -95,9 +114,6 @@ def n_evidence(evidence):
 
 
 N_WORDS_SQL = f"SELECT doc_id, count(*) AS n, count(DISTINCT word) AS d FROM ({DOC_WORDS}) GROUP BY doc_id"
-SPLIT_SQL = GROUP_SPLIT_SQL.replace("FROM documents)", f"FROM ({LABELLED_SQL}) z)").replace(
-    "FROM documents d", f"FROM ({LABELLED_SQL}) d")
-
 
 @query("score_stage1", f"""
 SELECT s.doc_id AS row_key, least(8, coalesce(n.d, 0)) AS n_evidence, TRUE AS evidence_ok, TRUE AS scores_ok
@@ -180,27 +196,31 @@ def q_detect_bundle(spark, sf_dir):
                     (ok[0] & ok[1] & ok[2] & ok[3]).alias("evidence_ok"))
 
 
-@query("fit_irony")
+def _soft_fit(spark, sf_dir, target, out):
+    s = split(spark, sf_dir)
+    train = s.where(F.col("split") == "train")
+    model = MD.fit_soft_regressor(train, target, num_features=1 << 16, max_iter=30)
+    held_out = MD.score_soft(model, s.where(F.col("split") != "train"), out)
+    own = balanced(MD.score_soft(model, train, out), target, out)
+    return attach(held_out.select("row_key", F.col(out).between(0, 1).alias("in_range")), own)
+
+
+@query("fit_irony", f"SELECT row_key, TRUE AS in_range, TRUE AS balanced FROM ({HELD_OUT_SQL})")
 def q_fit_irony(spark, sf_dir):
-    s = split(spark, sf_dir).cache()
-    model = MD.fit_soft_regressor(s.where(F.col("split") == "train"), "irony_score", num_features=1 << 16,
-                                  max_iter=30)
-    out = MD.score_soft(model, s.where(F.col("split") != "train"), "irony_index")
-    return out.select("row_key", F.round("irony_index", 6).alias("irony_index"))
+    """M3: scores of the held-out rows; ``balanced`` on the rows it was fitted on."""
+    return _soft_fit(spark, sf_dir, "irony_score", "irony_index")
 
 
-@query("fit_total_attention")
+@query("fit_total_attention", f"SELECT row_key, TRUE AS in_range, TRUE AS balanced FROM ({HELD_OUT_SQL})")
 def q_fit_total_attention(spark, sf_dir):
-    s = split(spark, sf_dir).cache()
-    model = MD.fit_soft_regressor(s.where(F.col("split") == "train"), "total_attention", num_features=1 << 16,
-                                  max_iter=30)
-    out = MD.score_soft(model, s.where(F.col("split") != "train"), "predicted_total_attention")
-    return out.select("row_key", F.round("predicted_total_attention", 6).alias("predicted_total_attention"))
+    """M4, as M3."""
+    return _soft_fit(spark, sf_dir, "total_attention", "predicted_total_attention")
 
 
-@query("fit_taggers")
+@query("fit_taggers", "SELECT doc_id, TRUE AS whole_share, TRUE AS balanced FROM documents")
 def q_fit_taggers(spark, sf_dir):
-    """M2 + M6: token tagger on span-derived targets, then word scores and the index."""
+    """M2 + M6: token tagger on span-derived targets, then word scores and the index, a whole share of
+    the words; ``balanced`` on the tokens it was fitted on."""
     rows = chunk_token_scores(spark, sf_dir, features=True).withColumnRenamed("target", "emotion")
     # fitted on three documents of four by the hash of the id, scored on all
     train = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(4)) != 0)
@@ -208,7 +228,16 @@ def q_fit_taggers(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     idx = MD.score_index(docs, {"emotion": model}, {"emotion": 0.5}, "doc_id", tokenizer=pieces(PIECE),
                          max_length=MAX_LENGTH, stride=STRIDE)
-    return idx.select("doc_id", F.round("emotion_index", 6).alias("emotion_index"))
+    n = F.size(F.regexp_extract_all("text", F.lit(r"(\S+)"), 1))
+    x = F.col("emotion_index")
+    whole = x.between(0, 1) & (F.abs(x * n - F.round(x * n)) < 1e-6)
+    marked = train.agg(F.count_if(F.col("emotion") >= 0.5).alias("p"), F.count_if(F.col("emotion") < 0.5).alias("n")).select(
+        positive_weight(F.col("p"), F.col("n")).alias("_pw"))
+    scored = attach(MD.score_tagger(model, train), marked).select(
+        "prob", (F.col("_pw") * F.col("emotion") + 1 - F.col("emotion")).alias("w"),
+        (F.col("_pw") * F.col("emotion") / (F.col("_pw") * F.col("emotion") + 1 - F.col("emotion"))).alias("y"))
+    own = balanced(scored, "y", "prob", F.col("w"))
+    return attach(idx.join(docs, "doc_id").select("doc_id", whole.alias("whole_share")), own)
 
 
 def _len_score(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -223,10 +252,10 @@ def q_score_with(spark, sf_dir):
     return out.select("doc_id", F.round("score", 6).alias("score"))
 
 
-@query("bundle_roundtrip")
+@query("bundle_roundtrip", f"SELECT row_key, TRUE AS same, TRUE AS nan_to_null FROM ({HELD_OUT_SQL})")
 def q_bundle_roundtrip(spark, sf_dir):
     """Save the suspicion model with its metadata, load it back, score again."""
-    s = split(spark, sf_dir).cache()
+    s = split(spark, sf_dir)
     model = MD.fit_suspicion(s.where(F.col("split") == "train"), num_features=1 << 16, max_iter=30)
     path = A.scratch_path(spark, "bundle")
     save_bundle(spark, {"stage1": model}, {"stage1_temperature": 1.0, "stage1_threshold": {"threshold": 0.5},
@@ -239,13 +268,18 @@ def q_bundle_roundtrip(spark, sf_dir):
                                        F.lit(meta["loss"] is None).alias("nan_to_null"))
 
 
-@query("fit_temperature")
+@query("fit_temperature", "SELECT TRUE AS positive, TRUE AS best, TRUE AS loss_ok")
 def q_fit_temperature(spark, sf_dir):
-    """C1 on the stand-in logits (rows-only: the optimum is tested by neighbours)."""
+    """C1 on the stand-in logits: no temperature a little higher or lower has a smaller loss."""
     from veracity.plans.q_scores import scored
     s = scored(spark, sf_dir)
-    return C.fit_temperature(s, "logit", F.col("y").cast("double")).select(
-        F.round("temperature", 4).alias("temperature"), F.round("loss", 6).alias("loss"))
+    y = F.col("y").cast("double")
+    fitted = C.fit_temperature(s, "logit", y)
+    at = attach(s.withColumn("_y", y), fitted.select(F.col("temperature").alias("_t"), F.col("loss").alias("_l")))
+    loss = lambda f: F.avg(bce_with_logits(F.col("logit") / (F.col("_t") * f), F.col("_y")))
+    r = at.agg(F.first("_t").alias("t"), F.first("_l").alias("l"), loss(1.0).alias("here"), loss(1.01).alias("up"), loss(0.99).alias("down"))
+    return r.select((F.col("t") > 0).alias("positive"), ((F.col("here") <= F.col("up") + 1e-9) & (F.col("here") <= F.col("down") + 1e-9)).alias("best"),
+                    (F.abs(F.col("here") - F.col("l")) < 1e-6).alias("loss_ok"))
 
 
 @query("run_training", f"""

@@ -21,6 +21,7 @@ import uuid
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,8 +162,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def rewrite(df: DataFrame, path: str) -> str:
-    """Write the repaired table as a new version beside the source and return its
-    path (Spark cannot overwrite what it is reading)."""
-    target = f"{path.rstrip('/')}.v{uuid.uuid4().hex[:8]}"
+    """Write the repaired table as the new version of the table at ``path`` and return the version's folder.
+
+    Spark cannot overwrite what it is reading, so versions lie beside the source.  The manifest entry that
+    makes a version the current one is written after the version is complete: a reader sees the old
+    or the new table whole, and a rewrite that fails changes nothing."""
+    spark = df.sparkSession
+    base = f"{path.rstrip('/')}.versions"
+    last = _last_version(spark, base)
+    number = 1 if last is None else last["number"] + 1
+    target = f"{base}/v{number:08d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("error").parquet(target)
+    spark.createDataFrame([(number, target)], VERSION).coalesce(1).write.mode("append").json(f"{base}/_manifest")
     return target
+
+
+VERSION = "number long, path string"
+
+
+def _last_version(spark: SparkSession, base: str):
+    try:
+        entries = spark.read.schema(VERSION).json(f"{base}/_manifest")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            return None
+        raise
+    return entries.orderBy(F.desc("number"), F.desc("path")).first()
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``rewrite`` wrote; an error if there is none."""
+    last = _last_version(spark, f"{path.rstrip('/')}.versions")
+    if last is None:
+        raise FileNotFoundError(f"no version of {path}")
+    return spark.read.parquet(last["path"])
