@@ -94,7 +94,8 @@ def q_encoding_detect(spark, sf_dir):
     raw.write.mode("overwrite").text(f"{base}/utf8")
     raw.select(F.concat(F.lit("\ufeff"), "value").alias("value")).write.mode("overwrite").text(f"{base}/bom")
     kor = raw.select(F.regexp_replace("value", "[^\\x{0000}-\\x{007F}\\x{AC00}-\\x{D7A3}]", "?").alias("value"))
-    kor.write.mode("overwrite").option("encoding", "x-windows-949").text(f"{base}/cp949")
+    # the text writer knows UTF-8 only
+    kor.write.mode("overwrite").option("encoding", "x-windows-949").option("sep", "\u0001").csv(f"{base}/cp949")
     det = A.detect_encoding(spark, [f"{base}/utf8", f"{base}/bom", f"{base}/cp949"])
     kind = F.regexp_extract("path", r"/(utf8|bom|cp949)/", 1)
     det = det.select(kind.alias("written"), "encoding")
