@@ -43,3 +43,22 @@ def test_early_stop(spark):
     # r: epoch 2 does not beat 0.5 by 1e-6, epoch 3 neither → patience 2 reached at epoch 3
     assert got["r"] == (1, 3)
     assert got["s"] == (2, 2)
+
+
+def test_second_split_is_plain_if_the_rest_has_a_class_of_one_row(spark):
+    from veracity.operators import splits as S
+    rows = [(i, "a") for i in range(20)] + [(20, "b"), (21, "b")]
+    out = S.stratified_split(spark.createDataFrame(rows, "k long, l string"), "l", "k", 0.5, 0.25).collect()
+    sizes = {s: sum(r["split"] == s for r in out) for s in ("train", "validation", "test")}
+    assert sizes == {"test": 11, "validation": 6, "train": 5} and len({r["k"] for r in out}) == 22
+
+
+def test_irony_loss_without_a_scored_row(spark):
+    import pytest
+
+    from veracity.operators import losses as L
+    docs = spark.createDataFrame([(1, 0.5, None), (2, 1.0, 0.25)], "k long, z double, y double")
+    tokens = spark.createDataFrame([(1, 0, 0, 1, 1.0, 0.5)], "k long, chunk_idx int, start int, end int, t double, s double")
+    assert L.irony_loss(docs, tokens, "k", "z", "y", "t", "s").first()["n"] == 1
+    with pytest.raises(Exception, match="no row with y"):
+        L.irony_loss(docs.where("y IS NULL"), tokens, "k", "z", "y", "t", "s").collect()

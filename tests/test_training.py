@@ -21,7 +21,7 @@ RAW = "n long, `제목` string, `내용` string, `라벨` string, emotion_score
 
 
 def raw(spark, rows):
-    return spark.createDataFrame(rows, RAW).withColumnRenamed("제목", "title")
+    return spark.createDataFrame(rows, RAW)
 
 
 def test_load_articles(spark):

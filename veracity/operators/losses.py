@@ -90,11 +90,12 @@ def index_loss(tokens: DataFrame, docs: DataFrame, e_target: str, e_logit: str,
 
 def irony_loss(docs: DataFrame, tokens: DataFrame, key: str, logit: str, target: str, attention_target: str,
                attention_score: str) -> DataFrame:
-    """Soft-target BCE on the documents with a score + 0.20·L3; no such row → error."""
+    """Soft-target BCE on the documents with a score + 0.20·L3; no such row is an error when the loss is read."""
     valid = docs.where(F.col(target).isNotNull())
     bce = valid.agg(F.avg(bce_with_logits(logit, F.col(target).cast("double"))).alias("bce"),
                     F.count(F.lit(1)).alias("n"))
     ce = rationale_ce(tokens, key, attention_target, attention_score)
-    t = _one(bce, ce)
+    none = F.raise_error(F.lit(f"no row with {target}")).cast("double")
+    t = _one(bce, ce).withColumn("bce", F.when(F.col("n") > 0, F.col("bce")).otherwise(none))
     return t.select("bce", "rationale_ce", "n",
                     (F.col("bce") + IRONY_RATIONALE_LOSS_WEIGHT * F.col("rationale_ce")).alias("loss"))

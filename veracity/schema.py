@@ -51,6 +51,21 @@ COLUMN_ALIASES = {
     "아이러니 지수": "irony_score",
 }
 
+# Further header aliases of raw article files, whose titles go to the text.
+INGEST_ALIASES = {
+    "number": "id",
+    "번호": "id",
+    "넘버링": "id",
+    "content": "text",
+    "내용": "text",
+    "본문": "text",
+    "article": "text",
+    "class": "label",
+    "라벨": "label",
+    "target": "label",
+    "제목": "title",
+}
+
 REQUIRED_COLUMNS = ["id", "text", "label"]
 
 OPTIONAL_COLUMNS = [
