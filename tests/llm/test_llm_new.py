@@ -287,3 +287,13 @@ def test_quality_stage_keeps_columns_with_clashing_names(spark):
                                "doc_id long, text string, n_words int, _w string")
     got = corpus_pipeline.quality_rules(spark, df, SF001)
     assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(1, text, -7, "w")] * 2
+
+
+def test_sample_of_repeated_ids_is_the_same_each_time(spark):
+    from veracity.llm import toxicity
+
+    rows = [(i % 9, f"text {i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, toxic int")
+    got = [toxicity.sample(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels, 2, 2)
+           for r, n in ((rows, 3), (rows[::-1], 7))]
+    assert got[0][0] == got[1][0] and got[0][1].tolist() == got[1][1].tolist() and len(got[0][0]) == 8

@@ -268,7 +268,7 @@ def sample(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int)
     ids = (lab.where("toxic = 1").orderBy(*order).limit(toxic_rows)
            .unionByName(lab.where("toxic = 0").orderBy(*order).limit(clean_rows)))
     rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-            .limit(2 * (toxic_rows + clean_rows)).collect())
+            .orderBy(*order, "text").limit(2 * (toxic_rows + clean_rows)).collect())
     rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["text"] or ""))
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], bool), (size.get(0, 0), size.get(1, 0))
 
