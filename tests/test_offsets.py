@@ -138,3 +138,13 @@ def test_word_marks_in_both_forms(spark):
     b = {r["k"]: r["n"] for r in df.select("k", marked_word_count(word_spans("text"), "spans").alias("n")).collect()}
     want = {k: sum(any(c >= 0.5 and max(x, s) < min(y, e) for s, e, c in spans) for x, y in words_of(t)) for k, t, spans in rows}
     assert {k: a.get(k, 0) for k in want} == b == want
+
+
+def test_special_tokens_in_both_forms(spark):
+    docs = spark.createDataFrame([(1, "abcdefg hij"), (2, ""), (3, "a b c d e f g h")], "k long, text string")
+    from veracity.operators.words import word_spans
+    a = TK.token_rows(docs, "k", tokenizer=O.pieces(3), max_length=5, stride=1, specials=True)
+    b = TK.chunk_tokens(docs.select("k", TK.piece_tokens(word_spans("text"), 3).alias("t")), "k", "t", 5, 1)
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str) and a.columns == b.columns
+    with pytest.raises(ValueError):
+        TK.token_rows(docs, "k", specials=True, words=True)

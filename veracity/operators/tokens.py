@@ -117,7 +117,8 @@ def _chunk_columns(c: O.Chunks, tokens: O.Ranges) -> list[pa.Array]:
 
 def token_rows(df: DataFrame, key: str, text: str = "text", tokenizer: O.Tokenizer | None = None,
                max_length: int | None = None, stride: int = 0, spans: dict[str, str] | None = None,
-               words: bool = False, features: bool = False, keep: list[str] | None = None) -> DataFrame:
+               words: bool = False, features: bool = False, specials: bool = False,
+               keep: list[str] | None = None) -> DataFrame:
     """The tokens of every text in long form, in one pass and without a shuffle.
 
     ``(key, keep..., chunk_idx, pos, tok_pos, start, end)``: content tokens, once per chunk they are
@@ -129,7 +130,10 @@ def token_rows(df: DataFrame, key: str, text: str = "text", tokenizer: O.Tokeniz
       no token belongs to gets a row of its own with NULL ``chunk_idx``, ``pos`` and ``tok_pos``.
     * ``features``: ``tok, left, right``, the token and its neighbours within the chunk (M2); the
       tokens of the tokenizer must not overlap.
+    * ``specials``: the special tokens of every chunk too, as in ``chunk_tokens`` (A10); not together with the others.
     """
+    if specials and (spans or words or features):
+        raise ValueError("special tokens have no word, span or text")
     spans = spans or {}
     keep = keep or []
     tokenizer = tokenizer or O.pieces()
@@ -145,7 +149,10 @@ def token_rows(df: DataFrame, key: str, text: str = "text", tokenizer: O.Tokeniz
         bounds, _ = t.words()
         tokens = tokenizer(batch.column("_text"), t, bounds)
         width, step = window or (max(1, int(np.diff(tokens.first).max(initial=0))),) * 2
-        c = O.chunk(tokens, width, step, specials=False)
+        c = O.chunk(tokens, width, step, specials)
+        if specials:
+            return pa.RecordBatch.from_arrays(
+                [*(batch.column(x).take(pa.array(c.doc)) for x in rest), *_chunk_columns(c, tokens)], names)
         at = c.token
         doc, alone = c.doc, np.zeros(len(at), bool)
         numbers = [c.chunk, c.pos, tokens.index()[at], tokens.start[at], tokens.end[at]]

@@ -266,8 +266,7 @@ FROM ch LEFT JOIN c ON c.doc_id = ch.doc_id AND c.chunk_idx = ch.chunk_idx
 GROUP BY ch.doc_id, ch.chunk_idx
 """)
 def q_chunk_tokens(spark, sf_dir):
-    d = docs_with_words(spark, sf_dir).select("doc_id", TK.piece_tokens("words", PIECE).alias("tokens"))
-    ct = TK.chunk_tokens(d, "doc_id", "tokens", MAX_LENGTH, STRIDE)
+    ct = token_frame(spark, sf_dir, specials=True)
     return ct.groupBy("doc_id", "chunk_idx").agg(
         F.count(F.lit(1)).alias("n_positions"), F.min("tok_pos").alias("first_token"),
         F.max("tok_pos").alias("last_token"))
