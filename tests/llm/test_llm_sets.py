@@ -514,7 +514,7 @@ def test_contract():
     assert set(entry.oracle_sql()) <= set(names)
 
 
-def test_sketches_keep_similar_pairs(spark):
+def test_bitmaps_keep_similar_pairs(spark):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9)))
     grams = lambda t: {t[i:i + 5] for i in range(len(t) - 4)} or {t}
@@ -529,14 +529,43 @@ def test_sketches_keep_similar_pairs(spark):
         if 100 * len(grams(x) & grams(y)) >= 75 * len(grams(x) | grams(y)):
             want.add((2 * i, 2 * i + 1))
     apart = {(4 * i, 4 * i + 2) for i in range(70)}
-    rows += [(1000, "one two"), (1001, "")]
+    rows += [(1000, "one two"), (1001, "one two!"), (1002, "long " * 5000), (1003, "long " * 4000)]
     df = spark.createDataFrame(rows, "node long, line string")
-    distinct = lines.signed(df).select("node", F.struct("keys", "sketch").alias("sig"))
-    pairs = spark.createDataFrame([*want, *apart, (0, 1000), (1000, 1001)], "hub long, node long")
-    got = {tuple(r) for r in lines.plausible(pairs, distinct).collect()}
-    assert len(want) > 100 and want <= got
-    assert {(0, 1000), (1000, 1001)} <= got  # lines of few words are always verified
+    bits = lines.bitmaps(df)
+    pairs = spark.createDataFrame([*want, *apart, (0, 1000), (1000, 1001), (1002, 1003)], "hub long, node long")
+    got = {tuple(r) for r in lines.plausible(pairs, bits).collect()}
+    assert len(want) > 100 and want <= got  # no link is ruled out
+    assert (1002, 1003) in got and (0, 1000) not in got
     assert len(apart & got) <= 2
+    linked = {tuple(r) for r in lines.verify(pairs, df).collect()}
+    text = dict(rows)
+    assert linked == {(a, b) for a, b in want | apart | {(0, 1000), (1000, 1001), (1002, 1003)}
+                      if 100 * len(grams(text[a]) & grams(text[b])) >= 75 * len(grams(text[a]) | grams(text[b]))}
+
+
+def test_bitmaps_never_exceed_the_difference(spark):
+    rng = random.Random(11)
+    some = ["".join(rng.choice("abc é漢") for _ in range(rng.choice([1, 4, 5, 20, 300, 3000]))) for _ in range(80)]
+    some += [x[: len(x) * 9 // 10] + "zz" for x in some]
+    df = spark.createDataFrame(list(enumerate(some)), "node long, line string")
+    rows = lines.bitmaps(df).collect()
+    assert len(rows) == len(some)
+    sets = {r["node"]: grams(some[r["node"]]) for r in rows}
+    assert all(r["n"] == len(sets[r["node"]]) for r in rows)
+    for x, y in itertools.combinations(rows, 2):
+        differ = sum(((x[f"b{i}"] ^ y[f"b{i}"]) & (2**64 - 1)).bit_count() for i in range(lines.BITMAP))
+        assert differ <= len(sets[x["node"]] ^ sets[y["node"]])
+
+
+def test_line_dedup_of_string_ids_and_clashing_columns(spark):
+    rows = [("a", "one two three four five\nsecond line here", "x"), ("b", "one two three four five!", "y"), ("c", None, "z"), ("a2", "second line here\nown words of this", "w")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, _d string").withColumn("kept", F.lit(1)).withColumn("no", F.lit(2))
+    got = lines.dedup(df)
+    drop = {r["doc_id"]: [(x["line_no"], x["keep_doc_id"], x["keep_line_no"]) for x in r["dropped"]] for r in got.collect()}
+    assert drop == {"a": [], "b": [(0, "a", 0)], "c": [], "a2": [(0, "a", 1)]}
+    out = {r["doc_id"]: r for r in lines.rewrite(df, got).collect()}
+    assert set(out) == {"a", "c", "a2"} and out["a2"]["text"] == "own words of this" and out["a2"]["_d"] == "w"
+    assert list(out["a"].asDict()) == df.columns
 
 
 def test_checkpoint_puts_the_setting_back(spark):
