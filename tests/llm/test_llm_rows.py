@@ -4,13 +4,16 @@ import collections
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from veracity.llm import extract, quality, toxicity, urls
+from veracity.llm import extract, extract_labels, quality, toxicity, urls
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = [
@@ -115,14 +118,112 @@ def test_extract(spark):
     assert extract.extract(df.limit(0)).count() == 0
 
 
-def test_tree_fits_its_table(spark):
-    nodes = extract.train(spark)
+@pytest.fixture(scope="module")
+def tree(spark):
+    return extract.train(spark)
+
+
+def main_text(tree, page):
+    found = extract.blocks(page)
+    return [b.text for b, k in zip(found, extract.choose(tree, [found])[0], strict=True) if k]
+
+
+def test_tree_fits_its_table(tree):
     for page in extract.LABELLED_PAGES:
         found = extract.blocks(page)
-        keep = extract.predict(nodes, extract.features(found))
+        keep = extract.choose(tree, [found])[0]
         assert [b.text for b, k in zip(found, keep, strict=True) if k != b.keep] == []
 
 
+def test_tree_decides_by_links_and_neighbours(tree):
+    used = {extract.FEATURES[n[0]] for n in tree if n[0] >= 0}
+    assert "links" in used and "words" in used
+    assert used & {"next_links", "next2_links", "prev_links", "prev2_links"}
+    assert used & {"next_words", "next2_words", "prev_words", "prev2_words"}
+
+
+def test_extract_on_pages_held_out(tree):
+    rng = random.Random(99)
+    pages = [extract_labels.plain_page(rng) if i % 5 else extract_labels.article_page(rng) for i in range(200)]
+    found = [extract.blocks(p) for p in pages]
+    wrong = sum(bool(k) != b.keep for f, y in zip(found, extract.choose(tree, found), strict=True)
+                for b, k in zip(f, y, strict=True))
+    assert wrong <= 0.005 * sum(map(len, found))
+
+
+LONG = "A sentence of the text that is rather long, as they are in an article of some length. " * 5
+
+
+def test_extract_without_names(tree):
+    """Link density and neighbours decide where no element or name does."""
+    long = LONG.strip()
+    assert main_text(tree, f"<div><a href=/1>{'word ' * 20}</a></div>") == []
+    menu = "".join(f"<li><a href=/{x}>{x}</a>" for x in ("Home", "Sport", "World news", "Local"))
+    assert main_text(tree, f"<div class=content><ul>{menu}</ul><p>{LONG}</p></div>") == [long]
+    assert main_text(tree, f"<div><p>{LONG}</p><p>It rained.</p><p>{LONG}</p></div>") == [long, "It rained.", long]
+    assert main_text(tree, f"<div>{menu}</div><div><p>It rained.</p></div><div>{menu}</div>") == []
+
+
+def test_extract_names_of_states_and_heads(tree):
+    long = LONG.strip()
+    page = "<div id=page class='site no-sidebar search-on'><article><h1>Title</h1><p>Some text.</p></article></div>"
+    assert main_text(tree, page) == ["Title", "Some text."]
+    assert main_text(tree, f"<div class='entry-content share-enabled'><p>{LONG}</p></div>") == [long]
+    assert main_text(tree, "<article><header><h1>Head</h1></header><p>Text.</p></article>") == ["Head", "Text."]
+    assert main_text(tree, "<header><h1>Site</h1></header><article><div class=entry-header>A</div><p>B.</p></article>") == ["A", "B."]
+    for name in ("class=siteFooter", "id='ad-box'", "class='left sidebar'", "role=complementary", 'id="comments"'):
+        assert main_text(tree, f"<article><p>Text.</p><div {name}><p>{LONG}</p></div></article>") == ["Text."]
+    for other in ("data-class=ad", "alt='class=ad'", "title=\"x id='menu'\""):
+        assert main_text(tree, f"<article><div {other}><p>Text.</p></div></article>") == ["Text."]
+
+
+def test_extract_quotes_bind_to_values(tree):
+    def text(page):
+        return [b.text for b in extract.blocks(page)]
+
+    assert text("<p>One.<img alt=Bob's></p><p>Two.</p><p>It's three.</p>") == ["One.", "Two.", "It's three."]
+    assert text("<p>One.<img alt=Bob's></p><p>Two.") == ["One.", "Two."]
+    assert text("<p title='a > b' id = \"c > d\" x=a\"b>One.</p>") == ["One."]
+    assert text("<p it's>One.</p><p \">Two.</p>") == ["One.", "Two."]
+    assert text("<a href='open>One.<p>Two.") == ["One.", "Two."]
+
+
+def test_extract_hidden_elements_are_bounded(tree):
+    def text(page):
+        return [b.text for b in extract.blocks(page)]
+
+    for name in ("button", "noscript", "svg", "select", "object"):
+        assert text(f"<div><p>One.</p><{name}>no<p>Two.</p></div><p>Three.</p>") == ["One.", "Two.", "Three."]
+        assert text(f"<p>One.</p><{name}><i>no</i><b>no</b></{name}><p>Two.</p>") == ["One.", "Two."]
+        # it is closed later, but the element around it ends first
+        assert text(f"<div>One.<{name}><g>no</g></div><p>Two.</p><{name}>no</{name}>") == ["One.", "Two."]
+        assert text(f"<{name}><{name}>no</{name}>no</{name}>One.") == ["One."]
+    assert text("<p>One <svg><path d=a /><g/></svg> block.</p>") == ["One block."]
+    assert text("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> is.</p>") == ["So x=2 is."]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 50_000 + "x" + "</div>" * 50_000, "<svg>" * 100_000, "<a b='c" * 100_000,
+                                  "<a " + "= " * 300_000, "<a x=\"" * 100_000, "<!--" * 100_000, "<p a=b " * 100_000])
+def test_extract_time_is_linear(page):
+    start = time.process_time()
+    extract.blocks(page)
+    assert time.process_time() - start < 5
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([
+    "<div>", "</div>", "<p>", "</p>", "<svg>", "</svg>", "<head>", "</head>", "<body>", "<a href='x'>", "</a>", "<script>",
+    "</script>", "<button", ">", "</button>", "'", '"', "=", "&amp;", "&#x41", "<!--", "-->", "text ", "<article class=ad>",
+    "</article>", "<nav>", "</nav>", "<h1>", "</h1>", "\n", "<li>", "<br/>", "<title>"]), max_size=40))
+def test_extract_any_markup(parts):
+    page = "".join(parts)
+    for b in extract.blocks(page):
+        assert b.text == " ".join(b.text.split()) != ""
+        assert b.words == len(b.text.split(" ")) and b.linked >= 0
+    # a page in which nothing is closed hides no text behind it
+    assert [b.text for b in extract.blocks("<div>" + "<svg>" * len(parts) + "<p>end")] == ["end"]
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(0)
     trans = rng.normal(size=(2, 2))

@@ -1,9 +1,14 @@
-"""The small labelled table of HTML extraction: pages whose main text is marked ``data-main``."""
+"""The small labelled table of HTML extraction: pages whose main text is marked ``data-main``.
+
+Some pages are written out; the rest, in which no name tells what is what, follow one plan with lengths drawn anew.
+"""
+
+import random
 
 S = "The committee met on Tuesday to discuss the plan for the harbour and agreed on most of it."
 L = "Readers who followed the story from the start will remember how slowly the first talks went, " * 3
 
-LABELLED_PAGES: tuple[str, ...] = (
+WRITTEN: tuple[str, ...] = (
     # article element, plain paragraphs of every length
     f"""<body><header><a href=/>Daily Post</a> News for the region.</header><nav><ul><li><a href=/a>Home</a>
     <li><a href=/b>Sport</a><li>Today</ul></nav><article data-main><h1>Harbour plan agreed</h1><p>{S}<p>{L}.<p>Yes.
@@ -50,3 +55,81 @@ LABELLED_PAGES: tuple[str, ...] = (
     f"<body data-main>{L}{L}</body>",
     f"<body data-main><p>{S} {S}</p><p>{L}</p></body>",
 )
+
+
+VOCABULARY = ("the harbour was quiet that morning and nobody on the long pier had heard of any plan for a new road "
+              "through old gardens until letters came from town").split()
+
+
+def phrase(rng: random.Random, n: int, end: str = "") -> str:
+    return " ".join(rng.choices(VOCABULARY, k=n)).capitalize() + end
+
+
+def links(rng: random.Random, n: int, low: int, high: int, item: str) -> str:
+    """``n`` linked items of ``low`` to ``high`` words."""
+    return "".join(item.format(f"<a href=/{i}>{phrase(rng, rng.randint(low, high))}</a>") for i in range(n))
+
+
+def stop(rng: random.Random) -> str:
+    return rng.choice(("", ".", ".", ".", ":"))
+
+
+def plain_page(rng: random.Random) -> str:
+    """A page of unnamed elements: menus and teasers are links among links, the article is text among text;
+    short sentences and headings between its paragraphs belong to it, short text among links does not."""
+    item = rng.choice(("<li>{}</li>", "<div>{}</div>", "<p>{}</p>", "<td>{}</td>"))
+    top = [links(rng, rng.randint(2, 8), 1, 3, item)]
+    if rng.random() < 0.6:
+        top.insert(0, f"<div>{phrase(rng, rng.randint(1, 4))}</div>")
+    if rng.random() < 0.5:
+        top.append("<div>" + links(rng, rng.randint(3, 25), 1, 2, "{} | ") + "</div>")
+    body = [f"<h1>{phrase(rng, rng.randint(2, 14))}</h1>"]
+    def text(low: int, high: int) -> str:
+        return f"<p>{phrase(rng, rng.randint(low, high), stop(rng))}</p>"
+
+    for _ in range(rng.randint(1, 12)):
+        kind = rng.random()
+        if kind < 0.5:
+            body.append(text(25, 130))
+        elif kind < 0.75:
+            body.append(text(8, 25) + text(20, 60))
+        elif kind < 0.85:
+            body.append(f"<p>{phrase(rng, rng.randint(1, 5), '.')}</p>" + text(20, 90))
+        elif kind < 0.92:
+            body.append(f"<h2>{phrase(rng, rng.randint(1, 6))}</h2>" + text(20, 90))
+        else:
+            body.append(f"<p>{phrase(rng, rng.randint(12, 40))} <a href=/x>{phrase(rng, rng.randint(1, 6))}</a> "
+                        f"{phrase(rng, rng.randint(5, 30), stop(rng))}</p>")
+    if rng.random() < 0.7:
+        body.append(text(20, 60))
+    end = [f"<div>{phrase(rng, rng.randint(1, 3))}</div>", links(rng, rng.randint(3, 9), 3, 14, item)]
+    if rng.random() < 0.5:
+        end.append(f"<div><a href=/t>{phrase(rng, rng.randint(15, 40), '.')}</a></div>")
+    end.append(links(rng, rng.randint(2, 6), 1, 3, item))
+    end.append(f"<div>{phrase(rng, rng.randint(2, 8), stop(rng))}</div>")
+    main = "".join(body[rng.random() < 0.3:] or body)
+    around = rng.random()
+    before = "" if around < 0.25 else "".join(top)
+    after = "" if 0.15 < around < 0.4 else "".join(end)
+    return f"<body><div>{before}</div><div data-main>{main}</div><div>{after}</div></body>"
+
+
+def article_page(rng: random.Random) -> str:
+    """A page with an article element: text of any length in it is main text, none beside it is."""
+    def some(n: int) -> str:
+        out = []
+        for _ in range(n):
+            t = phrase(rng, rng.choice((1, 2, 3, 5, 9, 16, 30, 60, 120)), stop(rng))
+            out.append(rng.choice((f"<p>{t}</p>", f"<p>{t}</p>", f"<h2>{t}</h2>", f"<li>{t}</li>",
+                                   f"<p><a href=/x>{t}</a></p>", f"<div><a href=/x>{t}</a> {t}</div>")))
+        return "".join(out)
+
+    return (f"<body><div>{some(rng.choice((0, 0, 1, 3)))}</div><article data-main>{some(rng.randint(1, 8))}</article>"
+            f"<div>{some(rng.choice((0, 0, 1, 3)))}</div></body>")
+
+
+#: Pages that follow the plans: without a name or article element, and with an article element.
+PLAIN, WITH_ARTICLE = 150, 50
+_rng = random.Random(1)
+LABELLED_PAGES: tuple[str, ...] = (
+    WRITTEN + tuple(plain_page(_rng) for _ in range(PLAIN)) + tuple(article_page(_rng) for _ in range(WITH_ARTICLE)))
