@@ -16,7 +16,7 @@ arbitrarily.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,45 @@ def dense_index(df: DataFrame, order: list[str], name: str = "row_key",
     return out.withColumn(name, F.col("__cum__di_one") - 1).drop("__di_one", "__cum__di_one")
 
 
+def run_totals(df: DataFrame, run: list[str], order: list[str], sums: list[str] = (), mins: list[str] = (),
+               n_parts: int | None = None) -> DataFrame:
+    """Positions and running sums within runs (groups of rows) of any length, W1.
+
+    Adds ``_pos`` (1-based, in ``order``), ``_rows`` (rows of the run), ``_cum_<c>`` (inclusive
+    running sum of ``c``; NULLs count as nothing) and ``_min_<c>`` (least value of the run).  Rows are
+    range-partitioned on run and order, so a long run lies in many partitions and its windows are one per
+    partition and run.  Only a run at a partition's border continues in the next, so what
+    is carried over, and broadcast, is at most two rows per partition.  Rows that tie in ``order`` stay
+    together, in any order."""
+    if not run:
+        raise ValueError("run needs a column")
+    part = _partitioned(df, [*run, *order], False, n_parts)
+    here = Window.partitionBy("__pid", *run)
+    upto = here.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = part.withColumns({
+        "_pos": F.row_number().over(here.orderBy(*order)).cast("long"), "_rows": F.count(F.lit(1)).over(here),
+        **{f"_cum_{c}": F.coalesce(F.sum(c).over(upto), F.lit(0)) for c in sums},
+        **{f"_min_{c}": F.min(c).over(here) for c in mins}})
+    blocks = part.groupBy("__pid", *run).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"_cum_{c}") for c in sums],
+        *[F.min(c).alias(f"_min_{c}") for c in mins])
+    whole = Window.partitionBy(*run)
+    before = whole.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    border = blocks.withColumn("_blocks", F.count(F.lit(1)).over(whole)).select(
+        "__pid", *run, "_blocks", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_pos"),
+        F.sum("_rows").over(whole).alias("_rows"),
+        *[F.coalesce(F.sum(f"_cum_{c}").over(before), F.lit(0)).alias(f"_cum_{c}") for c in sums],
+        *[F.min(f"_min_{c}").over(whole).alias(f"_min_{c}") for c in mins]).where("_blocks > 1")
+    a, b = rows.alias("a"), F.broadcast(border).alias("b")
+    on = [F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in ("__pid", *run)]
+    add = ["_pos", *[f"_cum_{c}" for c in sums]]
+    instead = ["_rows", *[f"_min_{c}" for c in mins]]
+    return a.join(b, on, "left").select(
+        *[F.col(f"a.`{c}`") for c in df.columns],
+        *[(F.col(f"a.`{c}`") + F.coalesce(F.col(f"b.`{c}`"), F.lit(0))).alias(c) for c in add],
+        *[F.coalesce(F.col(f"b.`{c}`"), F.col(f"a.`{c}`")).alias(c) for c in instead])
+
+
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate to every row of ``df``.
 
