@@ -76,3 +76,28 @@ def test_a_rewritten_table_is_seen_whole(spark, tmp_path):
     # a version without its entry, as a failed rewrite leaves it, is not seen
     spark.range(9).toDF("x").write.parquet(f"{path}.versions/v00000003-lost")
     assert A.read_current(spark, path).count() == 2 and spark.read.parquet(first).count() == 3
+
+
+def test_rows_keep_their_place_in_the_files(spark, tmp_path):
+    """Row keys and ids in file order, over two header orders, quoted line breaks and both JSON forms."""
+    from veracity.operators import clean as K
+    for name, head in (("a", "text|label"), ("b", "label|text")):
+        lines = [head]
+        for i in range(50):
+            row = {"text": f'"{name}{i}\nsecond line"', "label": "real"}
+            lines.append("|".join(row[c] for c in head.split("|")))
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines), encoding="utf-8")
+    back = A.read_articles_csv(spark, [str(tmp_path / f"{x}.csv") for x in "ba"], "|", place=True)
+    got = K.with_generated_ids(K.with_row_key(back, A.PLACE), A.PLACE).orderBy("row_key").collect()
+    assert [r["text"].split("\n")[0] for r in got] == [f"{x}{i}" for x in "ab" for i in range(50)]
+    assert [r["id"] for r in got][:2] == ["news-0000001", "news-0000002"] and got[-1]["row_key"] == 99
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "x.json").write_text(json.dumps({"n": 1, "items": [{"id": 5, "text": "u"}, {"id": 4, "text": "v"}]}))
+    (tmp_path / "j" / "y.json").write_text("\ufeff" + json.dumps([{"id": 3, "text": "w"}]) + "\n", encoding="utf-8")
+    (tmp_path / "j" / "z.json").write_text("\n")
+    back = A.read_articles_json(spark, str(tmp_path / "j"), place=True)
+    assert [r["id"] for r in back.orderBy(*A.PLACE).collect()] == ["5", "4", "3"]
+    assert A.PLACE == back.columns[-3:] and A.read_articles_json(spark, str(tmp_path / "j")).columns == ["id", "text"]
+    (tmp_path / "l.json").write_text("".join(json.dumps({"id": i, "text": "t"}) + "\n" for i in range(20)))
+    back = A.read_articles_json(spark, str(tmp_path / "l.json"), lines=True, place=True)
+    assert [r["id"] for r in back.orderBy(*A.PLACE).collect()] == [str(i) for i in range(20)]

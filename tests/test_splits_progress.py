@@ -45,6 +45,15 @@ def test_early_stop(spark):
     assert got["s"] == (2, 2)
 
 
+def test_dense_index_of_many_partitions(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("o"), F.repeat(F.lit("x"), 50).alias("wide")).repartition(9)
+    for parts in (1, 3, 64):
+        k = dense_index(df, ["o"], "rk", parts)
+        assert k.columns == ["o", "wide", "rk"] and k.where("rk != o").count() == 0 and k.count() == 5000
+        assert k.coalesce(1).where("rk % 2 = 0").agg(F.count_distinct("rk")).first()[0] == 2500
+    assert dense_index(df.limit(0), ["o"]).count() == 0
+
+
 def fold_epochs(rows, patience, delta):
     """Row by row, what early stopping does: ``(best_epoch, best_value, stop_epoch, epochs_run)``."""
     best = best_e = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veracity.functions.text import display_label, normalize_label, safe_float
+from veracity.functions.text import display_label, normalize_label, py_strip, safe_float
 from veracity.operators import clean as K
 from veracity.operators.annotations import parse_spans
 from veracity.plans.q_clean import LABELS_SQL, raw_articles, strip_sql
@@ -35,6 +35,53 @@ def q_csv_roundtrip(spark, sf_dir):
                     F.length("text").cast("bigint").alias("text_len"))
 
 
+FILE_ORDER = "row_number() OVER (ORDER BY doc_id % 2, doc_id)"
+
+
+@query("file_row_key", f"""
+SELECT doc_id, {FILE_ORDER} - 1 AS row_key, printf('news-%07d', {FILE_ORDER}) AS id,
+       length({strip_sql("coalesce(text, '')")}) AS n_chars
+FROM documents
+""")
+def q_file_row_key(spark, sf_dir):
+    """Articles without an id in files of two header orders, even documents before odd ones; row
+    keys and ids are numbered in file order."""
+    raw = raw_articles(spark, sf_dir)
+    path = A.scratch_path(spark, "articles-order")
+    for name, part, cols in (("a", 0, ["doc_id", "text", "label"]), ("b", 1, ["label", "doc_id", "text"])):
+        rows = raw.where(F.col("doc_id") % 2 == part).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        A.write_csv(rows.select(*cols), f"{path}/{name}", delimiter="|")
+    back = A.read_articles_csv(spark, [f"{path}/a", f"{path}/b"], delimiter="|", place=True)
+    keyed = K.with_generated_ids(K.with_row_key(back, A.PLACE), A.PLACE)
+    return keyed.select(F.col("doc_id").cast("long"), "row_key", "id",
+                        F.length(py_strip(F.coalesce("text", F.lit("")))).cast("bigint").alias("n_chars"))
+
+
+#: Articles of one envelope file.
+ENVELOPE = 100
+
+
+@query("json_envelope", f"""
+SELECT d.doc_id, {LABELS_SQL} AS label_norm, length(d.text) AS n_chars,
+       row_number() OVER (PARTITION BY d.doc_id // {ENVELOPE} ORDER BY d.doc_id) - 1 AS place
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+""")
+def q_json_envelope(spark, sf_dir):
+    """Files of up to 100 articles each, as a list, in an envelope of one of its keys beside other values, or
+    with a byte-order mark; rows keep their place in the file."""
+    raw = raw_articles(spark, sf_dir).withColumn("file", F.floor(F.col("doc_id") / ENVELOPE))
+    item = F.struct("doc_id", F.col("id").alias("넘버링"), F.col("text").alias("내용"), F.col("label").alias("라벨"))
+    files = raw.groupBy("file").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    kind, body = F.col("file") % 4, F.to_json("items")
+    doc = (F.when(kind == 0, body).when(kind == 1, F.concat(F.lit('{"count": 1, "data": '), body, F.lit("}")))
+           .when(kind == 2, F.concat(F.lit('\ufeff{"articles": '), body, F.lit("}\n"))).otherwise(F.concat(body, F.lit("\n\n"))))
+    path = A.scratch_path(spark, "envelopes")
+    files.select("file", doc.alias("value")).write.partitionBy("file").text(path)
+    back = K.with_labels(A.read_articles_json(spark, path, place=True))
+    return back.select(F.col("doc_id").cast("long"), "label_norm", F.length("text").cast("bigint").alias("n_chars"),
+                       F.col("_row").alias("place"))
+
+
 @query("json_roundtrip", f"""
 SELECT d.doc_id, {LABELS_SQL} AS label_norm, count(t.start) AS n_spans
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN ({THIRD_SQL}) t ON t.doc_id = d.doc_id

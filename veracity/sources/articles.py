@@ -68,10 +68,20 @@ def header_lines(spark: SparkSession, paths) -> DataFrame:
 
 def _null_na(df: DataFrame) -> DataFrame:
     na = F.array(*[F.lit(s) for s in PANDAS_NA_STRINGS])
-    return df.select(*[F.when(F.array_contains(na, F.col(f"`{c}`")), F.lit(None).cast("string"))
+    return df.select(*[F.col(c) if c in PLACE else F.when(F.array_contains(na, F.col(f"`{c}`")), F.lit(None).cast("string"))
                        .otherwise(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+#: The place of a row in its files: path, start of the block in the file, order in the block.
+PLACE = ["_file", "_block", "_row"]
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """Adds PLACE to a scan of files: sorted by it, rows are in file order."""
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_row"))
+
+
 def _csv_reader(spark: SparkSession, delimiter: str, charset: str):
     return (spark.read.option("header", True).option("sep", delimiter).option("multiLine", True)
             .option("quote", '"').option("escape", '"').option("encoding", charset)
@@ -79,11 +89,11 @@ def _csv_reader(spark: SparkSession, delimiter: str, charset: str):
 
 
 def read_articles_csv(spark: SparkSession, path, delimiter: str = "|", encoding: str = "auto",
-                      keep_blank: bool = False) -> DataFrame:
+                      keep_blank: bool = False, place: bool = False) -> DataFrame:
     """Delimited article files as strings, headers conformed (F1).
 
     ``keep_blank`` is the all-string rescan: blanks stay '' and no NA spelling is
-    nulled."""
+    nulled.  ``place`` adds the columns PLACE, the order of row keys and generated ids in file order."""
     _legacy_charsets(spark)
     paths = [path] if isinstance(path, str) else list(path)
     if encoding == "auto":
@@ -112,30 +122,35 @@ def read_articles_csv(spark: SparkSession, path, delimiter: str = "|", encoding:
         r = _csv_reader(spark, delimiter, charset)
         if keep_blank:
             r = r.option("emptyValue", "").option("nullValue", "\u0000__never__")
-        frames.append(conform_columns(r.csv(ps)))
+        rows = r.csv(ps)
+        frames.append(conform_columns(_placed(rows) if place else rows))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return df if keep_blank else _null_na(df)
 
 
-def read_articles_json(spark: SparkSession, path, encoding: str = "utf-8", lines: bool = False) -> DataFrame:
+def read_articles_json(spark: SparkSession, path, encoding: str = "utf-8", lines: bool = False,
+                       place: bool = False) -> DataFrame:
     """List / envelope / single-object JSON documents (``lines=True``: NDJSON).
-    Nested span columns stay as JSON text (S9)."""
+    Nested span columns stay as JSON text (S9).  Files of white space hold no document.  ``place`` adds PLACE."""
     _legacy_charsets(spark)
     charset = JAVA_CHARSET.get(encoding.lower(), encoding)
     reader = spark.read.option("encoding", charset).option("primitivesAsString", True)
     if lines:
-        return annotations_to_json(conform_columns(reader.json(path)))
+        rows = reader.json(path)
+        return annotations_to_json(conform_columns(_placed(rows) if place else rows))
     # one row per file; the envelope is decided for each file on its own
-    raw = spark.read.format("binaryFile").load(path).select(F.decode("content", charset).alias("t"))
-    v = raw.where(F.trim("t") != "").select(F.parse_json(F.ltrim(F.regexp_replace("t", "^\ufeff", ""))).alias("v"))
+    raw = spark.read.format("binaryFile").load(path).select(F.decode("content", charset).alias("t"), F.col("path").alias("_file"))
+    t = F.btrim(F.regexp_replace("t", "^\ufeff", ""), F.lit(" \t\r\n"))
+    v = raw.where(t != "").select(F.parse_json(t).alias("v"), "_file")
     kind = F.schema_of_variant("v")
     held = F.coalesce(*[F.try_variant_get("v", f"$.{k}", "array<variant>") for k in JSON_ENVELOPE_KEYS])
     records = (F.when(kind.startswith("ARRAY"), F.expr("try_variant_get(v, '$', 'array<variant>')"))
                .otherwise(F.coalesce(held, F.array("v"))))
-    rows = v.select(F.explode(records).alias("r")).select(F.expr("cast(r AS map<string, variant>)").alias("m"))
+    rows = v.select("_file", F.lit(0).cast("long").alias("_block"), F.posexplode(records).alias("_row", "r"))
+    rows = rows.select(F.expr("cast(r AS map<string, variant>)").alias("m"), "_file", "_block", F.col("_row").cast("long"))
     keys = [r[0] for r in rows.select(F.explode(F.map_keys("m")).alias("k")).distinct().orderBy("k").collect()]
     cols = [F.try_element_at("m", F.lit(k)).cast("string").alias(k) for k in keys]
-    return conform_columns(rows.select(*cols))
+    return conform_columns(rows.select(*cols, *(PLACE if place else [])))
 
 
 def annotations_to_json(df: DataFrame) -> DataFrame:
@@ -146,7 +161,7 @@ def annotations_to_json(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
             out.append(F.to_json(c).alias(f.name))
         else:
-            out.append(c.cast("string").alias(f.name) if not isinstance(f.dataType, T.StringType) else c)
+            out.append(c if isinstance(f.dataType, T.StringType) or f.name in PLACE else c.cast("string").alias(f.name))
     return df.select(*out)
 
 
