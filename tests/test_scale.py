@@ -3,6 +3,7 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from veracity.operators import losses as L
 from veracity.operators import models as MD
 from veracity.operators import offsets as O
 from veracity.operators import tokens as TK
@@ -96,3 +97,15 @@ def test_equal_tokens_are_fitted_as_one_row(spark):
     model = MD.fit_tagger(rows, "y", num_features=16, max_iter=20)
     p = {r["tok"]: r["prob"] for r in MD.score_tagger(model, rows).collect()}
     assert p["a"] > p["b"]
+
+
+def test_index_loss_reads_the_tokens_once(spark):
+    tokens = spark.range(20).select(F.lit(0).alias("start"), (F.col("id") % 3).cast("int").alias("end"), (F.col("id") % 2).alias("t"),
+                                    F.col("id").cast("double").alias("z"))
+    seen = tokens.mapInArrow(lambda batches: batches, tokens.schema)
+    docs = spark.createDataFrame([(1.0, 0.5)], "s double, p double")
+    out = L.index_loss(seen, docs, "t", "z", "t", "z", "s", "p", "s", "p")
+    assert _plan(out).split("== Initial Plan ==")[0].count("MapInArrow") == 1
+    one = L.masked_token_bce(tokens, "t", "z").first()[0]
+    r = out.first()
+    assert abs(r["emotion_bce"] - one) < 1e-12 and abs(r["loss"] - (2 * one + 0.25)) < 1e-9

@@ -7,7 +7,7 @@ averages batch means, which depends on the batch size).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracity.functions.text import clip01
@@ -26,8 +26,11 @@ def masked_token_bce(tokens: DataFrame, target: str, logit: str, pos_weight: flo
     """L2: mean BCE over content tokens (``end > start``) of annotated documents
     (``mask``); 0.0 when there is none."""
     m = (F.col("end") > F.col("start")) & (F.col(mask) if mask else F.lit(True))
-    return tokens.where(m).agg(F.coalesce(F.avg(bce_with_logits(logit, F.col(target).cast("double"), pos_weight)),
-                                          F.lit(0.0)).alias("masked_token_bce"))
+    return tokens.where(m).agg(_mean_bce(target, logit, pos_weight).alias("masked_token_bce"))
+
+
+def _mean_bce(target: str, logit: str, pos_weight: float = 1.0) -> Column:
+    return F.coalesce(F.avg(bce_with_logits(logit, F.col(target).cast("double"), pos_weight)), F.lit(0.0))
 
 
 def rationale_ce(tokens: DataFrame, key: str, target: str, score: str, confidence: DataFrame | None = None,
@@ -78,12 +81,12 @@ def stage1_loss(docs: DataFrame, tokens: DataFrame, key: str, logit: str, label:
 
 def index_loss(tokens: DataFrame, docs: DataFrame, e_target: str, e_logit: str, x_target: str, x_logit: str,
                e_score: str, e_pred: str, x_score: str, x_pred: str) -> DataFrame:
-    """Two masked token BCEs + 0.50·(two MSEs on documents with a score)."""
-    le = masked_token_bce(tokens, e_target, e_logit).withColumnRenamed("masked_token_bce", "emotion_bce")
-    lx = masked_token_bce(tokens, x_target, x_logit).withColumnRenamed("masked_token_bce", "exaggeration_bce")
+    """Two masked token BCEs (L2, both in one pass over the tokens) + 0.50·(two MSEs on documents with a score)."""
+    bce = tokens.where(F.col("end") > F.col("start")).agg(_mean_bce(e_target, e_logit).alias("emotion_bce"),
+                                                          _mean_bce(x_target, x_logit).alias("exaggeration_bce"))
     me = mse(docs, e_score, e_pred, "emotion_mse")
     mx = mse(docs, x_score, x_pred, "exaggeration_mse")
-    t = _one(le, lx, me, mx)
+    t = _one(bce, me, mx)
     return t.select("*", (F.col("emotion_bce") + F.col("exaggeration_bce") + INDEX_SCORE_LOSS_WEIGHT
                           * (F.col("emotion_mse") + F.col("exaggeration_mse"))).alias("loss"))
 
