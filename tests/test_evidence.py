@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veracity.operators import offsets as O
+from veracity.operators import pooling as PL
 from veracity.operators import tokens as TK
 
 
@@ -60,3 +61,15 @@ def test_only_the_best_words_are_shuffled(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(200))) for i in range(3)], "k long, text string").coalesce(1)
     few = TK.word_maxima(TK.word_tokens(docs, "k"), "k", lambda t: t["tok_pos"] / 1000, best=2)
     assert _sorted(few.select("k", "word_idx")) == [str((k, w)) for k in range(3) for w in (198, 199)]
+
+
+@pytest.mark.parametrize("first", [0, 1])
+def test_attention_evidence_is_that_of_every_token(spark, texts, first):
+    """Chunks without a weight, with a NULL one, with several and negative ones; numbers from 0 on or with gaps."""
+    weights = spark.createDataFrame(
+        [(k, c, w) for k in [*range(17), 52] for c in range(first, 9) for w in ([0.5, -1.0] if c % 4 == 3 else [None, 0.25][:1 + k % 2] if c % 3 == 2 else [c / 7])]
+        + [(1, None, 9.0), (None, 0, 9.0)], "k long, chunk_idx int, chunk_weight double")
+    flat = TK.token_rows(texts, "k", words=True, **SIZES).withColumn("weight", _prob()).join(weights, ["k", "chunk_idx"], "left")
+    want = TK.evidence(TK.word_maxima(flat.withColumn("prob", F.col("weight") * F.col("chunk_weight")), "k"), texts, "k", k=3)
+    got = PL.attention_evidence(lambda docs, keep: TK.word_tokens(docs, "k", keep=keep, **SIZES), weights, texts, "k", _prob, 3)
+    assert _sorted(got) == _sorted(want)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from veracity.operators import pooling as PL
 from veracity.plans import jobs as J
 from veracity.plans.q_scores import RULE, SCORED, SCORED_ALL, SQL_DECIDE, THRESHOLD, _reason_sql, scored
-from veracity.plans.q_tokens import CHUNK_TOK_SQL, token_frame
+from veracity.plans.q_tokens import CHUNK_TOK_SQL, word_token_frame
 from veracity.plans.registry import query, table
 from veracity.plans.sqlparts import DOC_WORDS
 from veracity.schema import LABEL_DISPLAY, REASON_STAGE1
@@ -74,11 +74,15 @@ SELECT doc_id, CAST(rk AS INTEGER) AS rank, word, round(score, 6) AS score FROM
 
 @query("attention_evidence", ATT_SQL)
 def q_attention_evidence(spark, sf_dir):
-    ct = token_frame(spark, sf_dir, words=True).withColumn(
-        "weight", ((F.col("doc_id") * 13 + F.col("tok_pos") * 7 + F.col("chunk_idx") * 3) % 100) / 100)
-    chunks = ct.where(F.col("chunk_idx").isNotNull()).select("doc_id", "chunk_idx").distinct().withColumn(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    of_chunks = F.array_distinct(F.flatten(F.transform("words", lambda w: w["tokens"]["chunk_idx"])))
+    chunks = word_token_frame(docs).select("doc_id", F.explode(of_chunks).alias("chunk_idx")).distinct().withColumn(
         "chunk_weight", ((F.col("chunk_idx") % 3) + 1) / 3)
-    ev = PL.attention_evidence(ct, chunks, table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", 8)
+
+    def weight(t):
+        return ((F.col("doc_id") * 13 + t["tok_pos"] * 7 + t["chunk_idx"] * 3) % 100) / 100
+
+    ev = PL.attention_evidence(word_token_frame, chunks, docs, "doc_id", weight, 8)
     e = ev.select("doc_id", F.posexplode("evidence").alias("i", "e"))
     return e.select("doc_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("e.word").alias("word"),
                     F.round("e.score", 6).alias("score"))
